@@ -43,13 +43,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
             .distinct()
         )
         new = written(small, "edges")
-        # settled when every edge is a star's: no centre is itself a leaf
-        if new.select(F.col("v").alias("u")).distinct().join(new.select("u").distinct(), "u", "left_semi").isEmpty():
-            # two stars cannot share a leaf, else the leaf's centres would have been merged
-            if new.groupBy("u").count().where("count > 1").isEmpty():
-                e = new
-                break
+        # settled when every edge is a star's: no leaf has two centres or is itself a centre
+        ends = new.select(F.col("u").alias("x"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).union(
+            new.select("v", F.lit(0), F.lit(1))
+        )
+        tally = ends.groupBy("x").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+        settled = tally.where("leaf > 1 or (leaf = 1 and centre = 1)").isEmpty()
         e = new
+        if settled:
+            break
     else:
         raise RuntimeError(f"components did not settle within {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
