@@ -1,6 +1,549 @@
-"""Queries of the curation operators, with SQL for comparison."""
+"""Queries of the curation operators over whole tables, with DuckDB SQL for comparison."""
 
 from __future__ import annotations
 
+import dataclasses
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textloom import registry
+from textloom.config import Config, DeepClean, Lid, NearDedup
+from textloom.functions import text as T
+from textloom.functions import udfs
+from textloom.operators import bpe_counts, clean, deep_clean, lid, merge, near_dup, reports, sampling
+from textloom.plans import pipeline
+from textloom.storage import written
+
+SOURCES = registry.numbered()
+#: Frequent words of the four languages, for the boilerplate test.
+FUNCTION_WORDS = ("the", "and", "of", "der", "die", "und", "la", "le", "les", "de", "que", "el")
+VOCAB_FILE = "/opt/tokenizers/byte_bpe_50k.json"
+MINHASH = NearDedup()
+
 QUERIES = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _documents(spark, sf_dir)
+    return d.select("source", F.substring("source", 4, 9).cast("int").alias("rank"), F.col("doc_id").alias("ordinal"), "text")
+
+
+def _md5(c: Column) -> Column:
+    return F.md5(c).alias("text_md5")
+
+
+# --- the same functions in SQL -----------------------------------------------------------------
+WHITE = r"[\s\x{0b}\x{85}\p{Z}]"
+SOLID = r"[^\s\x{0b}\x{85}\p{Z}]"
+
+
+def s_fold(x: str) -> str:
+    return f"lower(regexp_replace(regexp_replace(nfc_normalize({x}), '{WHITE}+', ' ', 'g'), '^ | $', '', 'g'))"
+
+
+def s_words(x: str) -> str:
+    return f"len(regexp_extract_all({x}, '{SOLID}+'))"
+
+
+def s_strip(x: str) -> str:
+    return rf"regexp_replace({x}, '[\x{{00}}-\x{{08}}\x{{0b}}-\x{{1f}}\x{{7f}}-\x{{9f}}]|[\x{{200b}}-\x{{200d}}\x{{feff}}\x{{ad}}\x{{202a}}-\x{{202e}}]', '', 'g')"
+
+
+def s_white(x: str) -> str:
+    for pattern, by in ((r"[\t\x{0b}\f\r \x{85}\p{Z}]+", " "), (r" ?\n ?", r"\n"), (r"\n{3,}", r"\n\n"), (r"^[ \n]+|[ \n]+$", "")):
+        x = f"regexp_replace({x}, '{pattern}', '{by}', 'g')".replace(r"'\n'", "chr(10)").replace(r"'\n\n'", "chr(10) || chr(10)")
+    return x
+
+
+def s_collapse(x: str, most: int = 3) -> str:
+    signs = [*"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZäöüßéèêëçñáíóúàâîôûïÄÖÜÉÈÊÇÑÁÍÓÚ", *"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]
+    for c in signs:
+        pattern = c if c.isalpha() else rf"\x{{{ord(c):x}}}"
+        by = "\\\\" if c == "\\" else c
+        x = f"regexp_replace({x}, '{pattern}{{{most + 1},}}', '{by * most}', 'g')"
+    return f"regexp_replace({x}, '\\x{{27}}{{{most + 1},}}', '{chr(39) * 2 * most}', 'g')"
+
+
+def s_symbols(x: str) -> str:
+    solid = f"regexp_replace({x}, '{WHITE}+', '', 'g')"
+    return f"case when length({solid}) > 0 then length(regexp_replace({solid}, '[\\p{{L}}\\p{{N}}]+', '', 'g')) / length({solid}) else 0.0 end"
+
+
+def s_numbers(x: str) -> str:
+    return f"len(regexp_extract_all({x}, '\\p{{N}}')) > len(regexp_extract_all({x}, '\\p{{L}}'))"
+
+
+S_TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^>]*)?>"
+S_ACTIVE = r"(?is)<\?.*?\?>|<script\b.*?</script>|<style\b.*?</style>|<(?:char|mutation)\b.*?>"
+S_RANK = "cast(substr(source, 4) as int)"
+S_MERGED = f"""
+    hashed as (select *, {S_RANK} as rank, sha256({s_fold("text")}) as content_hash from documents where regexp_matches(text, '{SOLID}')),
+    merged as (
+        select *, first_value(source) over w as keeper, row_number() over w as turn from hashed
+        window w as (partition by content_hash order by rank, doc_id)
+    ), marked as (
+        select *, case when turn = 1 then null when keeper = source then 'within_source_dup' else 'cross_source_dup' end as reason from merged
+    )"""
+S_CLEAN_TEXT = s_white(s_collapse(s_strip("text")))
+S_CLEANED = f"""
+    cleaned as (
+        select doc_id, source, {S_RANK} as rank, {S_CLEAN_TEXT} as text, case when {S_RANK} % 2 = 0 then 25 else 5 end as floor from documents
+    ), gated as (
+        select *, sha256({s_fold("text")}) as content_hash, case when not regexp_matches(text, '{SOLID}') then 'too_short'
+            when length(text) > 0 and (length(text) - length(replace(text, chr(65533), ''))) / length(text) > 0.005 then 'corrupted'
+            when {s_words("text")} < floor then 'too_short' end as gate from cleaned
+    ), deduped as (
+        select *, row_number() over w as turn, first_value(source || ':' || substr(content_hash, 1, 16)) over w as first_id from gated
+        window w as (partition by content_hash, gate is null order by rank, doc_id)
+    ), clean_rows as (
+        select *, coalesce(gate, case when turn > 1 then 'exact_duplicate_after_clean' end) as reason from deduped
+    )"""
+
+
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.mark_first_wins(_raw(spark, sf_dir).where(~T.is_blank(F.col("text"))))
+
+
+def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean(_raw(spark, sf_dir), SOURCES)
+
+
+# --- merge ---------------------------------------------------------------------------------------
+@query(f"with {S_MERGED} select doc_id, source, content_hash from marked where reason is null")
+def merge_exact_dedup(spark, sf_dir):
+    return merge.kept(_marked(spark, sf_dir)).select(F.col("ordinal").alias("doc_id"), "source", "content_hash")
+
+
+@query(f"with {S_MERGED} select md5(text) as text_md5, source, reason, case when reason = 'cross_source_dup' then keeper end as kept_source from marked where reason is not null")
+def merge_dropped_reasons(spark, sf_dir):
+    return merge.dropped(_marked(spark, sf_dir)).select(_md5(F.col("text")), "source", "reason", "kept_source")
+
+
+@query(
+    f"""with {S_MERGED} select source, count(*) as input, count(*) filter (reason is null) as kept, count(*) filter (reason = 'within_source_dup') as within_dups,
+    count(*) filter (reason = 'cross_source_dup') as cross_dups, round(count(*) filter (reason is not null) / count(*), 6) as drop_rate from marked group by rollup (source)"""
+)
+def merge_source_stats(spark, sf_dir):
+    return merge.counters(_marked(spark, sf_dir))
+
+
+@query(f"with {S_MERGED} select doc_id, source from marked where reason is null order by rank, doc_id limit 100")
+def limit_in_order(spark, sf_dir):
+    """The feature: a limit that counts kept rows in merge order."""
+    return merge.kept(_marked(spark, sf_dir), 100).select(F.col("ordinal").alias("doc_id"), "source")
+
+
+@query(f"select doc_id, sha256({s_fold('text')}) as content_hash, source || ':' || substr(sha256({s_fold('text')}), 1, 16) as id from documents")
+def content_hash_ids(spark, sf_dir):
+    d = _documents(spark, sf_dir).withColumn("content_hash", T.content_hash(udfs.nfc(F.col("text"))))
+    return d.select("doc_id", "content_hash", T.make_doc_id(F.col("source"), F.col("content_hash")).alias("id"))
+
+
+# --- scalar functions ------------------------------------------------------------------------------
+_DIRTY = "chr(7) || replace(text, ' a', chr(8203) || ' a' || chr(173)) || chr(13) || chr(10)"
+
+
+@query(f"select doc_id, md5({s_strip(_DIRTY)}) as text_md5 from documents")
+def strip_invisibles(spark, sf_dir):
+    dirty = F.concat(F.lit("\x07"), F.replace("text", F.lit(" a"), F.lit("​ a\xad")), F.lit("\r\n"))
+    return _documents(spark, sf_dir).select("doc_id", _md5(T.strip_invisibles(dirty)))
+
+
+@query(f"select doc_id, md5({s_white(f'chr(10) || replace(text, chr(44), chr(160) || chr(10) || chr(10) || chr(9) || chr(10))')}) as text_md5 from documents")
+def whitespace_normalize(spark, sf_dir):
+    dirty = F.concat(F.lit("\n"), F.replace("text", F.lit(","), F.lit("\xa0\n\n\t\n")))
+    return _documents(spark, sf_dir).select("doc_id", _md5(T.normalize_whitespace(dirty)))
+
+
+@query(f"select doc_id, md5({s_collapse(chr(39) + 'waaaaaa!!!!!! 1000000 ' + chr(39) + ' || text')}) as text_md5 from documents")
+def collapse_repeats(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", _md5(T.collapse_repeats(F.concat(F.lit("waaaaaa!!!!!! 1000000 "), "text"))))
+
+
+@query(f"select doc_id, {s_words('text')} as words, {s_words('text')} < 25 as below from documents")
+def word_count_gate(spark, sf_dir):
+    w = T.word_count(F.col("text"))
+    return _documents(spark, sf_dir).select("doc_id", w.cast("long").alias("words"), (w < 25).alias("below"))
+
+
+@query(
+    """select doc_id, round(r, 6) as ratio, r > 0.005 as corrupted from (select doc_id, case when length(text) > 0 then
+    (length(text) - length(replace(text, 'wh', 'w'))) / length(replace(text, 'wh', chr(65533))) else 0.0 end as r from documents)"""
+)
+def ufffd_ratio_gate(spark, sf_dir):
+    r = T.ufffd_ratio(F.replace("text", F.lit("wh"), F.lit("�")))
+    return _documents(spark, sf_dir).select("doc_id", F.round(r, 6).alias("ratio"), (r > 0.005).alias("corrupted"))
+
+
+@query(f"select doc_id, round({s_symbols('text')}, 6) as symbol_ratio from documents")
+def symbol_ratio(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", F.round(T.symbol_ratio(F.col("text")), 6).alias("symbol_ratio"))
+
+
+@query(f"select doc_id, {s_numbers('text')} as mostly_numbers from documents")
+def mostly_numbers(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", T.mostly_numbers(F.col("text")).alias("mostly_numbers"))
+
+
+@query(f"select page_id, regexp_matches(html, '{S_TAG}') as remnant, regexp_matches(html, '{S_ACTIVE}') as active from pages")
+def html_remnant_flag(spark, sf_dir):
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return p.select("page_id", T.has_html_remnant(F.col("html")).alias("remnant"), T.has_active_html(F.col("html")).alias("active"))
+
+
+@query(f"select page_id, case when regexp_matches(html, '{S_ACTIVE}') then 'html_remnant' end as reason, md5(regexp_replace(html, '{S_TAG}', '', 'g')) as text_md5 from pages")
+def html_policy_pages(spark, sf_dir):
+    text, reason = deep_clean.html_policy(F.col("html"))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", reason.alias("reason"), _md5(text))
+
+
+S_LINE = f"regexp_replace(x, '^{WHITE}+|{WHITE}+$', '', 'g')"
+S_BOILER = rf"""({S_LINE} <> '' and (regexp_matches({S_LINE}, '^[|A-Z0-9«»]{{10,}}$') or regexp_matches({S_LINE}, '^\|[^\n]*\|$')
+    or regexp_matches({S_LINE}, '(?i)^(?:{"|".join(T.LINE_STARTS)})') or regexp_matches({S_LINE}, '^[-+.()\d\s]{{7,}}$')
+    or ({s_words(S_LINE)} < 4 and not regexp_matches(lower({S_LINE}), '{"|".join(FUNCTION_WORDS)}'))))"""
+
+
+@query(
+    f"""select doc_id, round((n - len(kept)) / n, 6) as share, md5(array_to_string(kept, chr(10))) as text_md5 from (
+    select doc_id, len(ls) as n, list_filter(ls, lambda x: not {S_BOILER}) as kept from (select doc_id, string_split(text, chr(10)) as ls from documents))"""
+)
+def boilerplate_filter(spark, sf_dir):
+    text, share = T.boilerplate_lines(F.col("text"), FUNCTION_WORDS)
+    return _documents(spark, sf_dir).select("doc_id", F.round(share, 6).alias("share"), _md5(text))
+
+
+S_MAIL = r"[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}"
+S_EDGE = r"(^|[^\p{L}\p{N}_])"
+S_MASK_MAIL = rf"regexp_replace(x, '(?i){S_EDGE}{S_MAIL}\b', '\1⟨email⟩', 'g')"
+S_MASKED = rf"regexp_replace({S_MASK_MAIL}, '(?i){S_EDGE}(?:(?:www\.|https?://)[^\s<>]+|[a-z0-9][-.a-z0-9]+\.(?:com|edu|gov|org|net|info|io|co|so)(?:/\S*)?)', '\1⟨url⟩', 'g')"
+
+
+@query(f"select doc_id, md5({S_MASKED}) as text_md5 from (select doc_id, 'see https://a.example.com/x?y=1 or www.b.org, c.net/z: ' || text as x from documents)")
+def mask_contacts(spark, sf_dir):
+    x = F.concat(F.lit("see https://a.example.com/x?y=1 or www.b.org, c.net/z: "), "text")
+    return _documents(spark, sf_dir).select("doc_id", _md5(T.mask_contacts(x)))
+
+
+_S_SET = f"list_distinct(list_filter(regexp_split_to_array(lower(p), '{WHITE}+'), lambda w: strlen(w) > 2))"
+
+
+@query(
+    f"""with recursive paras as (
+        select doc_id, i, {_S_SET} as ws, p from (
+            select doc_id, p, row_number() over (partition by doc_id order by i) as i from (
+                select doc_id, regexp_replace(unnest(ls), '^{WHITE}+|{WHITE}+$', '', 'g') as p, generate_subscripts(ls, 1) as i from (select doc_id, string_split(text, chr(10)) as ls from documents))
+            where p <> '')
+    ), fold as (
+        select doc_id, 1::bigint as i, [p] as kept, ws as last from paras where i = 1
+        union all
+        select f.doc_id, q.i, case when same then kept else list_append(kept, q.p) end, case when same then last else q.ws end
+        from (select f.doc_id, f.i, f.kept, f.last, q.i as j, case when len(q.ws) + len(f.last) = 0 then true
+                else len(list_intersect(q.ws, f.last)) / len(list_distinct(list_concat(q.ws, f.last))) >= 0.95 end as same
+              from fold f join paras q on q.doc_id = f.doc_id and q.i = f.i + 1) f join paras q on q.doc_id = f.doc_id and q.i = f.j
+    )
+    select d.doc_id, md5(coalesce(array_to_string(kept, chr(10)), '')) as text_md5 from documents d left join (select * from fold qualify row_number() over (partition by doc_id order by i desc) = 1) using (doc_id)"""
+)
+def paragraph_dedup(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", _md5(T.dedup_paragraphs(F.col("text"), 0.95, "\n")))
+
+
+@query(
+    rf"""select doc_id, nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '^\s*\d+\.\s*', ''), '\s*\[\d+\]', '', 'g'), '{WHITE}+', ' ', 'g'), '^ | $', '', 'g'), '') as verse
+    from (select doc_id, '12. ' || replace(text, '.', ' [3].') as x from documents)"""
+)
+def verse_clean(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", T.clean_verse(F.concat(F.lit("12. "), F.replace("text", F.lit("."), F.lit(" [3].")))).alias("verse"))
+
+
+@query(f"select doc_id, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: {S_LINE}), lambda y: y <> ''), ' ')) as text_md5 from documents")
+def joined_lines(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", _md5(T.join_lines(F.col("text"))))
+
+
+_S_NOISE = [*((f"contains(lower(text), '{p}')", 2, n) for n, p in reversed(T.NOISE))]
+_S_ALPHA = "len(regexp_extract_all(text, '\\p{L}'))"
+_S_NOISE += [
+    (f"({s_words('text')} < 12 and {_S_ALPHA} > 0 and len(regexp_extract_all(text, '[A-Za-z]')) / greatest({_S_ALPHA}, 1) > 0.85)", 1, "mostly_latin"),
+    (f"({s_symbols('text')}) > 0.35", 1, "high_symbols"),
+    (f"{s_words('text')} <= 3", 1, "very_short"),
+]
+
+
+@query(
+    "select doc_id, "
+    + " + ".join(f"case when {s} then {w} else 0 end" for s, w, _ in _S_NOISE)
+    + " as score, array_to_string(list_filter(["
+    + ", ".join(f"case when {s} then '{n}' end" for s, _, n in _S_NOISE)
+    + "], lambda x: x is not null), ',') as reasons from documents"
+)
+def noise_heuristics(spark, sf_dir):
+    n = _documents(spark, sf_dir).select("doc_id", T.noise_score(F.col("text")).alias("n"))
+    return n.select("doc_id", "n.score", F.array_join("n.reasons", ",").alias("reasons"))
+
+
+@query(f"select case when w <= 7 then '1-7' when w <= 15 then '8-15' when w <= 35 then '16-35' else '36+' end as bucket, count(*) as n from (select {s_words('text')} as w from documents) group by 1")
+def length_buckets(spark, sf_dir):
+    return _documents(spark, sf_dir).groupBy(T.length_bucket(T.word_count(F.col("text"))).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query()
+def decode_entities(spark, sf_dir):
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return p.select("page_id", _md5(udfs.decode_entities(F.col("html"))))
+
+
+_LETTERS = "äöüßéèêëçñáíóúàâîôûïÄÖÜÉÈÊËÇÑÁÍÓÚÀÎÔÛÏ"
+_AS_READ = {c: "".join(next((k for k, v in udfs._BYTE.items() if v == b), chr(b)) for b in c.encode()) for c in _LETTERS}
+
+
+@query("select doc_id, md5('café ' || text) as text_md5 from documents")
+def mojibake_repair(spark, sf_dir):
+    """Text read in the wrong encoding comes back as it was."""
+    broken = F.concat(F.lit("café "), "text")
+    for c, wrong in _AS_READ.items():
+        broken = F.replace(broken, F.lit(c), F.lit(wrong))
+    return _documents(spark, sf_dir).select("doc_id", _md5(udfs.fix_mojibake(broken)))
+
+
+@query("select doc_id, md5('a' || chr(10) || 'b' || chr(9) || '\"/ ' || chr(92) || 'q ' || text) as text_md5 from documents")
+def unescape_literals(spark, sf_dir):
+    escaped = F.concat(F.lit('a\\nb\\t\\"\\/ \\q '), F.replace("text", F.lit("\\"), F.lit("\\\\")))
+    return _documents(spark, sf_dir).select("doc_id", _md5(udfs.unescape(escaped)))
+
+
+@query("select doc_id, md5(regexp_replace(replace(text, '<', '('), '\\s+$', '')) as text_md5 from documents")
+def markup_fragments(spark, sf_dir):
+    """Trailing pieces of markup are cut back to the text."""
+    piece = F.concat(F.replace("text", F.lit("<"), F.lit("(")), F.lit(" <div><p>\\/p>"))
+    return _documents(spark, sf_dir).select("doc_id", _md5(udfs.strip_markup_fragments(piece)))
+
+
+# --- clean -------------------------------------------------------------------------------------------
+@query(f"with {S_CLEANED} select doc_id, gate as reason from clean_rows")
+def clean_gate_reasons(spark, sf_dir):
+    c = _cleaned(spark, sf_dir)
+    gate = F.when(F.col("reason") != "exact_duplicate_after_clean", F.col("reason"))
+    return c.select(F.col("ordinal").alias("doc_id"), gate.alias("reason"))
+
+
+@query(f"with {S_CLEANED} select doc_id, reason, case when reason = 'exact_duplicate_after_clean' then first_id end as duplicate_of from clean_rows")
+def post_clean_dedup(spark, sf_dir):
+    return _cleaned(spark, sf_dir).select(F.col("ordinal").alias("doc_id"), "reason", "duplicate_of")
+
+
+@query(
+    f"""with {S_CLEANED} select doc_id, array_to_string(list_filter([case when {s_symbols("text")} > 0.5 then 'high_symbol_ratio' end,
+    case when regexp_matches(text, '{S_TAG}') then 'html_remnant' end, case when {s_numbers("text")} then 'mostly_numbers' end], lambda x: x is not null), ',') as flags
+    from clean_rows where gate is null"""
+)
+def review_flags(spark, sf_dir):
+    c = _cleaned(spark, sf_dir).where("reason is null or reason = 'exact_duplicate_after_clean'")
+    return c.select(F.col("ordinal").alias("doc_id"), F.array_join("flags", ",").alias("flags"))
+
+
+# --- near duplicates -----------------------------------------------------------------------------------
+S_SHINGLES = f"""
+    toks as (select doc_id, strlen(text) as size, list_filter(regexp_split_to_array(lower(text), '{WHITE}+'), lambda w: w <> '') as ws from documents),
+    sets as (select doc_id, size, list_sort(list_distinct(list_transform(range(1, greatest(len(ws) - 1, 1)),
+        lambda i: cast('0x' || substr(sha256(array_to_string(ws[i : i + 2], ' ')), 1, 8) as bigint) & 2147483647))) as s from toks),
+    reps as (select min(doc_id) as node, s from sets where len(s) > 0 group by s),
+    ex as (select node, unnest(s) as x from reps), sizes as (select node, len(s) as n from reps),
+    inter as (select a.node as src, b.node as dst, count(*) as c from ex a join ex b on a.x = b.x and a.node < b.node group by all),
+    pairs as (select src, dst, c / (a.n + b.n - c) as jaccard from inter join sizes a on a.node = src join sizes b on b.node = dst where c / (a.n + b.n - c) >= 0.8)"""
+S_CLUSTERS = (
+    "recursive "
+    + S_SHINGLES
+    + """, links as (select src as a, dst as b from pairs union select dst, src from pairs), reach(node, root) as (
+        select node, node from reps union select l.b, r.root from reach r join links l on l.a = r.node
+    ), comp as (select node, min(root) as root from reach group by node),
+    members as (select doc_id, size, root, min(doc_id) over (partition by root) as component, count(*) over (partition by root) as m
+        from sets join reps using (s) join comp using (node)),
+    clustered as (select doc_id, size, component from members where m > 1),
+    best as (select component, doc_id as canonical from clustered qualify row_number() over (partition by component order by size desc, doc_id) = 1)"""
+)
+
+
+def _sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.shingle_table(_documents(spark, sf_dir), MINHASH)
+
+
+def _distinct_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _sets(spark, sf_dir).where(F.size("shingles") > 0)
+    return written(s.groupBy("shingles").agg(F.min("node").alias("node")), "distinct-sets")
+
+
+@query(f"with {S_SHINGLES} select doc_id, len(s) as n, coalesce(list_sum(s), 0)::bigint as total from sets")
+def shingle_counts(spark, sf_dir):
+    total = F.aggregate("shingles", F.lit(0).cast("long"), lambda a, x: a + x)
+    return _sets(spark, sf_dir).select(F.col("node").alias("doc_id"), F.size("shingles").cast("long").alias("n"), total.alias("total"))
+
+
+_S_MINS = ", ".join(f"min((x * {a} + {b}) % {near_dup.PRIME}) as h{i}" for i, (a, b) in enumerate(near_dup.constants(64, 0)))
+_S_BANDS = ", ".join(f"[{b}, {', '.join(f'h{b * 4 + j}' for j in range(4))}]" for b in range(16))
+
+
+@query(f"with {S_SHINGLES}, sig as (select node, {_S_MINS} from ex group by node), bands as (select node, unnest([{_S_BANDS}]) as band from sig) select distinct a.node as src, b.node as dst from bands a join bands b on a.band = b.band and a.node < b.node")
+def lsh_candidates(spark, sf_dir):
+    return near_dup.candidate_pairs(_distinct_sets(spark, sf_dir), MINHASH)
+
+
+@query(f"with {S_SHINGLES} select src, dst, round(jaccard, 6) as jaccard from pairs")
+def jaccard_pairs(spark, sf_dir):
+    """Pairs of distinct texts at 0.8 and above; copies are in the clusters."""
+    return near_dup.verified_pairs(_distinct_sets(spark, sf_dir), MINHASH).withColumn("jaccard", F.round("jaccard", 6))
+
+
+@query(f"with {S_CLUSTERS} select doc_id, component from clustered")
+def near_dup_clusters(spark, sf_dir):
+    return near_dup.clusters(_sets(spark, sf_dir), MINHASH).select(F.col("node").alias("doc_id"), "component")
+
+
+@query(f"with {S_CLUSTERS} select component, canonical from best")
+def near_dup_canonical(spark, sf_dir):
+    return near_dup.canonical(near_dup.clusters(_sets(spark, sf_dir), MINHASH))
+
+
+@query(f"with {S_CLUSTERS} select d.doc_id, case when canonical <> d.doc_id then canonical end as near_duplicate_of from documents d left join (select doc_id, canonical from clustered join best using (component)) using (doc_id)")
+def near_dedup_marked(spark, sf_dir):
+    return near_dup.mark(_documents(spark, sf_dir), MINHASH).select("doc_id", "near_duplicate_of")
+
+
+# --- reports -----------------------------------------------------------------------------------------
+@query(
+    f"""with {S_CLEANED} select source, reason, case when grouping(source) = 0 and grouping(reason) = 0 then 0 when grouping(source) = 0 then 1 when grouping(reason) = 0 then 2 else 3 end as level, count(*) as n
+    from clean_rows where reason is not null group by grouping sets ((source, reason), (source), (reason), ())"""
+)
+def drops_by_source_reason(spark, sf_dir):
+    return reports.by_source_and_reason(_cleaned(spark, sf_dir).where("reason is not null")).withColumn("level", F.col("level").cast("int"))
+
+
+@query(f"with {S_MERGED} select source, count(*) as input, count(*) filter (reason is null) as kept, count(*) filter (reason is not null) as dropped from marked group by source")
+def per_source_flow(spark, sf_dir):
+    m = written(_marked(spark, sf_dir).select("source", "reason"), "marked")
+    return reports.flow(m, m.where("reason is null"))
+
+
+@query(
+    f"""with {S_CLEANED}, n as (select (select count(*) from documents) as a, (select count(distinct content_hash) from (select sha256({s_fold("text")}) as content_hash from documents where regexp_matches(text, '{SOLID}'))) as b,
+    (select count(*) from clean_rows where reason is null) as c)
+    select step, stage, input, kept, input - kept as dropped, round((input - kept) / input, 6) as drop_rate from (
+    select 0 as step, 'merge' as stage, a as input, b as kept from n union all select 1, 'clean', b, c from n union all select 2, 'overall', a, c from n)"""
+)
+def pipeline_funnel(spark, sf_dir):
+    return pipeline.run(_raw(spark, sf_dir), SOURCES, stages=("merge", "clean")).funnel()
+
+
+@query(
+    "with r as ("
+    + " union all ".join(f"select {t} as threshold, source, count(*) as total, count(*) filter (w < {t}) as rejects from (select source, {s_words('text')} as w from documents) group by rollup (source)" for t in sampling.THRESHOLDS)
+    + ") select threshold, source, total, rejects, round(100 * rejects / total, 6) as reject_pct from r"
+)
+def min_word_sweep(spark, sf_dir):
+    return sampling.min_word_sweep(_documents(spark, sf_dir))
+
+
+@query("select doc_id, source from documents qualify row_number() over (partition by source order by md5('42:' || doc_id), doc_id) <= 10")
+def reservoir_sample(spark, sf_dir):
+    """The feature: ten rows of each source."""
+    return sampling.reservoir(_documents(spark, sf_dir), 10, "doc_id", 42, by="source").select("doc_id", "source")
+
+
+_S_AUDIT = " union all ".join(f"select '{k}' as sign, count(*) filter (regexp_matches(text, '{p}')) as docs, count(*) as total from documents" for k, p in reports.AUDIT.items())
+
+
+@query(f"select sign, docs, round(docs / total, 6) as share from ({_S_AUDIT})")
+def audit_detectors(spark, sf_dir):
+    return reports.audit(_documents(spark, sf_dir))
+
+
+@query(f"select source, count(*) as docs, sum({s_words('text')})::bigint as words, sum(length(text))::bigint as chars, round(avg(length(text)), 6) as mean_chars from documents group by rollup (source)")
+def corpus_stats(spark, sf_dir):
+    return reports.corpus_stats(_documents(spark, sf_dir), T.word_count(F.col("text")).cast("long"))
+
+
+@query(
+    f"""with p as (select l.quality, {s_symbols("text")} <= 0.25 as said from documents join labels l using (doc_id)), n as (select count(*) filter (said and quality = 1) as tp,
+    count(*) filter (said and quality = 0) as fp, count(*) filter (not said and quality = 1) as fn from p)
+    select tp, fp, fn, round(tp / (tp + fp), 6) as precision, round(tp / (tp + fn), 6) as recall from n"""
+)
+def labels_precision_recall(spark, sf_dir):
+    lab = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    d = _documents(spark, sf_dir).join(lab, "doc_id").select(F.when(T.symbol_ratio(F.col("text")) <= 0.25, "good").otherwise("bad").alias("said"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("truth"), "text")
+    return lid.evaluate(d, "said", "truth", "good").where("bucket is null").select("tp", "fp", "fn", "precision", "recall")
+
+
+_S_PRE = "regexp_extract_all(text, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]+')"
+_S_COUNTS = f"select word, count(*) as n from (select unnest({_S_PRE}) as word from documents) group by word having count(*) >= 2"
+
+
+@query(_S_COUNTS)
+def bpe_word_counts(spark, sf_dir):
+    return bpe_counts.word_counts(_documents(spark, sf_dir))
+
+
+@query(
+    f"""select ps.l as "left", ps.r as "right", sum(n)::bigint as n from (select n, unnest(list_transform(range(1, length(word)), lambda i: {{'l': substr(word, i, 1), 'r': substr(word, i + 1, 1)}})) as ps from ({_S_COUNTS}) where length(word) > 1) group by all"""
+)
+def bpe_pair_counts(spark, sf_dir):
+    return bpe_counts.pair_counts(bpe_counts.word_counts(_documents(spark, sf_dir)))
+
+
+# --- rows only: no SQL equivalent ----------------------------------------------------------------------
+@query()
+def bpe_encode_ratio(spark, sf_dir):
+    ids = F.size(bpe_counts.encode(F.col("text"), VOCAB_FILE))
+    d = _documents(spark, sf_dir).select(bpe_counts.token_word_ratio(ids, T.word_count(F.col("text"))).alias("ratio"))
+    return sampling.ratio_summary(written(d, "ratios"), "ratio")
+
+
+@query()
+def threshold_recommendation(spark, sf_dir):
+    return sampling.recommend(_documents(spark, sf_dir))
+
+
+@query()
+def lid_gate(spark, sf_dir):
+    """Trigram detector of all documents' languages; English is the target."""
+    d = _documents(spark, sf_dir)
+    known = registry.look_up(d.withColumn("disposition", F.lit("kept")).withColumnRenamed("lang", "truth"), SOURCES)
+    return lid.apply_gate(known, lid.train(d), "en").select("doc_id", "lang", F.round("lang_score", 4).alias("lang_score"), F.col("lid_reason").alias("reason"), "disposition")
+
+
+@query()
+def segment_lid(spark, sf_dir):
+    d = _documents(spark, sf_dir)
+    return d.select("doc_id", F.round(udfs.target_share(F.col("text"), lid.train(d), "en", 0.5, 1024, "\n"), 6).alias("target_share"))
+
+
+@query()
+def lid_benchmark(spark, sf_dir):
+    d, out = _documents(spark, sf_dir), None
+    for name in udfs.BACKENDS:
+        said = d.withColumn("said", udfs.detect(F.col("text"), lid.train(d, name), 2000)["code"])
+        part = lid.evaluate(said, "said", "lang", "en").withColumn("backend", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query()
+def curation_pipeline(spark, sf_dir):
+    """All five stages, as the drops of each by source and reason."""
+    d = _documents(spark, sf_dir)
+    cfg = Config(lid=Lid(target="en"), deep_clean=dataclasses.replace(DeepClean(), function_words=FUNCTION_WORDS, paragraph_separator="\n"))
+    return pipeline.run(_raw(spark, sf_dir), SOURCES, cfg, lid.train(d)).drops()
