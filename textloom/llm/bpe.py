@@ -163,9 +163,12 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array, known: pa.Array) -> pa.Array:
         e, got = encoder(vocab), []
-        for t, k in zip(texts.to_pylist(), known.to_pylist()):
-            got.append(None if t is None else np.frombuffer(encode_with(e, t, {x["i"]: x["ids"] for x in k or ()}), "<u4").astype("i4"))
-        return pa.array(got, pa.list_(pa.int32()))
+        for t, k in zip(texts, known):
+            got.append(None if not t.is_valid else encode_with(e, t.as_py(), {x["i"]: x["ids"] for x in k.as_py() or ()}))
+        ends = np.cumsum([0, *(len(g) // 4 if g else 0 for g in got)])
+        flat = pa.array(np.frombuffer(b"".join(filter(None, got)), "<i4"))
+        mask = pa.array([g is None for g in got])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=mask)
 
     full = keyed.join(known.hint("shuffle_hash"), "k", "left")
     return full.select(*unpack, encode("t", "known").alias(out))
@@ -176,7 +179,13 @@ def bpe_decode(df: DataFrame, ids: str = "token_ids", out: str = "decoded", voca
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        e = encoder(vocab)
-        return pa.array([None if x is None else e.decode(np.array([2**32 - 1 if i is None or i < 0 else i for i in x], "<u4").tobytes()) for x in lists.to_pylist()], pa.string())
-
-    return df.withColumn(out, decode(ids))
+        e, n = encoder(vocab), len(lists)
+        flat = lists.values.to_numpy(zero_copy_only=False)
+        if lists.values.null_count:
+            flat = np.nan_to_num(flat, nan=-1)
+        flat = np.where((flat < 0) | (flat > 2**32 - 1), 2**32 - 1, flat).astype("<u4")
+        at = lists.offsets.to_numpy()
+        got = [e.decode(flat[at[i] : at[i + 1]].tobytes()) if lists[i].is_valid else None for i in range(n)]
+        return pa.array(got, pa.string())
+
+    return df.withColumn(out, decode(F.col(ids).cast("array<bigint>")))

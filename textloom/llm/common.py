@@ -87,15 +87,15 @@ class Encoder:
     def decode(self, ids: bytes) -> str:
         """Text of ids; ids outside the vocabulary and broken UTF-8 become U+FFFD."""
         table, n = _spelling(self.path)
-        found = np.frombuffer(ids, "<u4").tolist()
-        return b"".join([table[i] if i < n else b"\xef\xbf\xbd" for i in found]).decode("utf-8", "replace")
+        found = np.minimum(np.frombuffer(ids, "<u4"), n).tolist()
+        return b"".join(map(table.__getitem__, found)).decode("utf-8", "replace")
 
 
 @functools.cache
 def _spelling(path: str) -> tuple[list[bytes], int]:
     back = {i: b for b, i in ranks(path).items()}
     n = max(back) + 1
-    return [back.get(i, b"\xef\xbf\xbd") for i in range(n)], n
+    return [back.get(i, b"\xef\xbf\xbd") for i in range(n + 1)], n
 
 
 @functools.cache
