@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from zlib import crc32
@@ -20,54 +21,68 @@ VOTERS = [
 ]
 _RUN = re.compile(r"[^\w\s.,;:'\"()\-]{2,}(?=\s|\Z)")
 _STOP = re.compile(r"[.!?\n]+")
-_LETTERS, _UPPER, _DIGIT = re.compile(r"[^\W\d_a-zß-öø-ÿ]+|[a-zß-öø-ÿ]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"\d+")
+_RUNS = [(re.compile(c + "+"), c) for c in "aA0"]
+_OTHER_RUNS = re.compile(r"([^\w\s])\1{2,}")
 
 
-class _Shapes(dict):
-    """Word to the hash of its shape: letters, capitals and digits as one sign a run, the rest as it is."""
+class _Signs(dict):
+    """Code point to what stands for it in a shape: a, A or 0 for small letters, capitals, digits; others stay."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        s = _LETTERS.sub("a", _UPPER.sub("A", _DIGIT.sub("0", word)))
-        k = self[word] = crc32(re.sub(r"(.)\1+", r"\1\1", s).encode()) % (DIMS - 4096)
-        return k
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        got = self[point] = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isalnum() else c
+        return got
 
 
-_shapes = _Shapes()
+@functools.lru_cache(100_000)
+def _place(shape: str) -> int:
+    return crc32(shape.encode("utf-8", "surrogatepass")) % (DIMS - 4096)
+
+
+_signs = _Signs()
 VOTER_AT = [DIMS - 4096 + i for i in range(len(VOTERS))]
 
 
-def measures(text: str) -> dict[str, float | None]:
-    """Whole-text measures behind the labellers; None where a text is too short to judge."""
-    words = text.split()
-    n = len(words)
+def _look(text: str) -> tuple[dict[str, float | None], Counter]:
+    """Measures behind the labellers (None where a text is too short to judge), and the words' shapes.
+
+    The whole text is turned into shapes at once: letters, capitals and digits as one sign a run, runs
+    of other signs as two, so a few string passes do for all words.
+    """
+    signs = text.translate(_signs)
+    small, upper, digits = map(signs.count, "aA0")
+    runs = signs
+    for r, c in _RUNS:
+        runs = r.sub(c, runs)
+    shapes = Counter(_OTHER_RUNS.sub(r"\1\1", runs).split())
+    low = [w.strip(".,;:!?") for w in text.lower().split()]
+    n = len(low)
     if not n:
-        return dict.fromkeys(VOTERS)
-    letters = sum(map(len, words))
-    joined = "".join(words)
-    alnum = sum(map(len, re.findall(r"[^\W_]+", joined)))
-    upper = sum(map(len, _UPPER.findall(joined)))
-    low = [w.strip(".,;:!?").lower() for w in words]
+        return dict.fromkeys(VOTERS), shapes
+    letters = len(text) - sum(map(text.count, " \n")) if text.isascii() and text.isprintable() else len("".join(text.split()))
+    alnum = small + upper + digits
     counts = Counter(low)
     long_enough = n >= 12
-    sentences = [s for s in (x.strip() for x in _STOP.split(text)) if s]
-    symbol_ends = len(_RUN.findall(text))
+    sentences = [s for s in map(str.strip, _STOP.split(text)) if s] if n >= 4 else []
     return {
         "symbols": 1 - alnum / letters if long_enough else None,
-        "symbol_ends": symbol_ends / n if long_enough else None,
+        "symbol_ends": len(_RUN.findall(signs)) / n if long_enough else None,
         "capitals": upper / max(1, alnum) if long_enough else None,
         "exclamations": text.count("!") / n if long_enough else None,
         "menu_bars": text.count("|") / n if n >= 6 else None,
         "stutter": sum(map(str.__eq__, low, low[1:])) / n if n >= 6 else None,
         "few_distinct": 1 - len(counts) / n**0.9 if n >= 40 else None,
-        "one_word_rules": counts.most_common(1)[0][1] / n if long_enough else None,
-        "no_stops": 1 - min(1.0, len(re.findall(r"[.!?](?:\s|\Z)", text)) * 60 / n) if n >= 30 else None,
+        "one_word_rules": max(counts.values()) / n if long_enough else None,
+        "no_stops": 1 - min(1.0, sum(c for s, c in shapes.items() if s[-1] in ".!?") * 60 / n) if n >= 30 else None,
         "repeated_sentences": 1 - len(set(sentences)) / len(sentences) if len(sentences) >= 4 else None,
         "odd_word_length": abs(letters / n - 5.5) if long_enough else None,
-        "symbol_words": sum(1 for w in words if not any(map(str.isalnum, w))) / n if n >= 6 else None,
-        "digits": sum(map(len, _DIGIT.findall(joined))) / letters if long_enough else None,
-    }
+        "symbol_words": sum(c for s, c in shapes.items() if not any(x in s for x in "aA0")) / n if n >= 6 else None,
+        "digits": digits / letters if long_enough else None,
+    }, shapes
+
+
+def measures(text: str) -> dict[str, float | None]:
+    return _look(text)[0]
 
 
 LIMITS = {
@@ -87,10 +102,14 @@ def votes(text: str) -> int:
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Share of each word shape (hashed), each labeller's vote, and each measure in four steps around its limit."""
-    words = text.split()
-    shapes = Counter(map(_shapes.__getitem__, words))
-    idx, val = list(shapes), [c / len(words) for c in shapes.values()]
-    for i, (k, v) in enumerate(measures(text).items()):
+    found, shapes = _look(text)
+    total = shapes.total()
+    by: dict[int, float] = {}
+    for s, c in shapes.items():
+        k = _place(s) if len(s) < 40 else crc32(s.encode("utf-8", "surrogatepass")) % (DIMS - 4096)
+        by[k] = by.get(k, 0.0) + c / total
+    idx, val = list(by), list(by.values())
+    for i, (k, v) in enumerate(found.items()):
         if v is None:
             continue
         if v > LIMITS[k]:
