@@ -171,3 +171,29 @@ def test_exact_screen_never_misses(spark):
     assert n == 8 and filters.count() == 8
     seen = X.screen(spark.range(2500, 12500).selectExpr("unhex(md5(cast(id as string))) as k"), filters, n)
     assert 2500 <= seen.count() < 2700 and seen.join(snap, "k").count() == 2500
+
+
+def test_near_hub_family(spark):
+    r = random.Random(8)
+    vocab = ["w%d" % i for i in range(5000)]
+    hub = [r.choice(vocab) for _ in range(300)]
+    copies = [[r.choice(vocab) if r.random() < 0.2 else w for w in hub] for _ in range(2000)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate([hub, *copies])], "doc_id long, text string")
+    # what resembles the original and shares a bucket with it is in its group
+    own = N.sketch(hub)
+    want = {0, *(i for i, c in enumerate(copies, 1) if N.similar(hub, c, N.THRESHOLD) and (N.sketch(c) == own).any())}
+    assert len(want) > 1900
+    kept = dict((x.doc_id, x.kept_id) for x in N.near_duplicates(df).collect())
+    assert want <= {d for d, k in kept.items() if k == kept[0]}
+
+
+def test_near_widely_shared_passage(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 64)  # so that buckets take several blocks
+    r = random.Random(9)
+    vocab = ["w%d" % i for i in range(5000)]
+    passage = [r.choice(vocab) for _ in range(120)]
+    base = [[r.choice(vocab) for _ in range(80)] for _ in range(400)]
+    edited = [[r.choice(vocab) if r.random() < 0.1 else w for w in b] for b in base]
+    rows = [(i, " ".join(passage + t)) for i, t in enumerate([*base, *edited])]
+    got = {x.doc_id: x.kept_id for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == 800 and all(got[i] == got[i + 400] for i in range(400)) and len(set(got.values())) == 400

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -14,6 +16,7 @@ from textloom.operators.components import connected_components
 from textloom.storage import written
 
 K, SKETCHES, PICKED = 3, 32, 2
+FLAGS, BLOCK = 1024, 4000
 THRESHOLD = 0.75
 _RNG = np.random.default_rng(20_24)
 _MUL = _RNG.integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -158,53 +161,101 @@ def similar(a: list[str], b: list[str], threshold: float) -> bool:
     return abs(len(a) - len(b)) <= most and banded_distance(a, b, most) <= most
 
 
-def near_pairs(keyed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified pairs ``(src, dst)`` of content keys, from ``keyed`` (k, t) rows.
+def _flags(ws: list[str]) -> bytes:
+    """FLAGS bits: those that a text's words, each labelled by occurrence, are hashed to."""
+    on = np.zeros(FLAGS, bool)
+    on[(kmers(ws, 1) % np.uint64(FLAGS)).astype(np.int64)] = True
+    return np.packbits(on).tobytes()
+
 
-    Every text with words is in SKETCHES buckets. In a bucket, ordered by length and key, each text is
-    compared with the first and with the one before it: linear in the bucket, whatever its size, and
-    texts of one family meet in many buckets with many neighbours. Pairs whose lengths alone rule the
-    threshold out are dropped exactly; the texts of the rest are joined on and aligned.
+def _met(keys: pa.Array, n: np.ndarray, group: np.ndarray, flags: np.ndarray, side: np.ndarray, threshold: float, most: int | None):
+    """Batches of the pairs of one block that neither lengths nor words rule out and that are in two groups.
+
+    ``side`` is 0 and 1 where two blocks are compared with each other, all 0 for a block with itself.
+    An edit takes away one labelled word at most, so texts are at least as far apart as the flags that
+    one has and the other lacks. ``most`` bounds the pairs of any two groups in a strip; None: all pairs.
+    """
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == side.max())
+    on = np.unpackbits(flags, axis=1).astype(np.float32)
+    count, other = on.sum(axis=1), on[right].T
+    for lo in range(0, len(left), 512):
+        l = left[lo : lo + 512]
+        far = np.maximum.outer(count[l], count[right]) - on[l] @ other
+        edits = np.floor((1 - threshold) * np.maximum.outer(n[l], n[right]) + 1e-9)
+        ok = (far <= edits + 0.5) & (np.abs(np.subtract.outer(n[l], n[right])) <= edits) & (group[l][:, None] != group[right][None, :])
+        if not side.any():
+            ok &= l[:, None] < right[None, :]
+        a, b = np.nonzero(ok)
+        a, b = l[a], right[b]
+        if most is not None and len(a):
+            both = np.minimum(group[a], group[b]) * (group.max() + 1) + np.maximum(group[a], group[b])
+            order = np.argsort(both, kind="stable")
+            s = both[order]
+            start = np.maximum.accumulate(np.where(np.concatenate([[True], s[1:] != s[:-1]]), np.arange(len(s)), 0))
+            order = order[np.arange(len(s)) - start < most]
+            a, b = a[order], b[order]
+        if len(a):
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(a)), keys.take(pa.array(b))], names=["a", "b"])
+
+
+def _apart(shared: DataFrame, groups: DataFrame, marks: DataFrame, threshold: float, most: int | None) -> DataFrame:
+    """Pairs ``(src, dst)`` that share a bucket and aren't in one group, from all pairs of each bucket.
+
+    Buckets whose texts are all in one group are done, and so are those of up to three texts, which
+    have met already. The rest are cut into blocks of BLOCK texts by length, and each block meets each.
     """
+    placed = shared.where("size > 3").join(groups, "k", "left").select("band", "k", "n", "size", "rank", F.coalesce("g", "k").alias("g"))
+    mixed = placed.groupBy("band").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("band")
+    own = F.floor(F.col("rank") / BLOCK).cast("int")
+    rows = (
+        placed.join(mixed, "band", "left_semi")
+        .join(marks.select("k", "flags"), "k")
+        .select("band", "k", "n", "g", "flags", own.alias("own"), F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / BLOCK).cast("int"))).alias("other"))
+        .select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "k", "n", "g", "flags")
+    )
+
+    def meet(batches):
+        held: list[pa.RecordBatch] = []
+
+        def done(parts):
+            t = pa.Table.from_batches(parts)
+            flags = np.frombuffer(b"".join(t["flags"].to_pylist()), np.uint8).reshape(len(t), FLAGS // 8)
+            group = t["g"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            side = (t["own"].to_numpy() != t["lo"].to_numpy()).astype(np.int8)
+            return _met(t["k"].combine_chunks(), t["n"].to_numpy().astype(np.int64), group, flags, side, threshold, most)
 
-    def bands(batches):
-        seen = set()
         for b in batches:
-            keys, sizes, marks = [], [], []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if t is None or k in seen:
+            band, lo, hi = (b.column(i).to_numpy() for i in range(3))
+            new = (band[1:] != band[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(b)]
+            for i, j in zip(cuts, cuts[1:]):
+                if i == j:
                     continue
-                seen.add(k)
-                ws = words(t)
-                if ws:
-                    marks.append(sketch(ws))
-                    keys.append(k)
-                    sizes.append(len(ws))
-            at = np.repeat(np.arange(len(keys)), SKETCHES)
-            band = np.concatenate(marks).view(np.int64) if marks else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(band), pa.array(keys, pa.binary()).take(pa.array(at)), pa.array(np.array(sizes, np.int32)[at] if sizes else np.zeros(0, np.int32))], names=["band", "k", "n"])
+                if held and any(held[0].column(c)[0].as_py() != b.column(c)[i].as_py() for c in range(3)):
+                    yield from done(held)
+                    held = []
+                held.append(b.slice(i, j - i))
+        if held:
+            yield from done(held)
+
+    sorted_rows = rows.repartition("band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
+    return sorted_rows.mapInArrow(meet, "a binary, b binary").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
 
-    rows = keyed.select("k", "t").mapInArrow(bands, "band long, k binary, n int")
-    w = W.partitionBy("band").orderBy("n", "k")
-    met = rows.select("k", "n", *[f(c).over(w).alias(p + c) for p, f in (("f", F.first), ("p", F.lag)) for c in ("k", "n")])
-    # n is the longer of the two, since the bucket is ordered by length
-    ok = lambda p: F.col(p + "k").isNotNull() & (F.col(p + "k") != F.col("k")) & (F.col(p + "n") >= F.lit(threshold) * F.col("n") - 1e-6)
-    pairs = (
-        met.select("k", F.explode(F.array_distinct(F.array_compact(F.array(*[F.when(ok(p), F.col(p + "k")) for p in "fp"])))).alias("o"))
-        .select(F.least("k", "o").alias("src"), F.greatest("k", "o").alias("dst"))
-        .distinct()
-    )
-    pairs = written(pairs, "near-candidates")
-    needed = pairs.select(F.explode(F.array("src", "dst")).alias("k")).distinct()
-    texts = written(keyed.select("k", "t").join(needed.hint("shuffle_hash"), "k", "left_semi").dropDuplicates(["k"]), "near-texts")
+
+def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The ``pairs`` (src, dst) whose texts reach ``threshold``."""
 
     def align(batches):
         for b in batches:
-            src, dst, own, last = [], [], [], None
+            src, dst, own, bag, last = [], [], [], Counter(), None
             for s, d, x, y in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if s != last:
                     own, last = words(x), s
-                if similar(own, words(y), threshold):
+                    bag = Counter(own)
+                other = words(y)
+                n = max(len(own), len(other))
+                # words that the other lacks cost an edit each
+                if n - (bag & Counter(other)).total() <= (1 - threshold) * n + 1e-9 and similar(own, other, threshold):
                     src.append(s)
                     dst.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(src, pa.binary()), pa.array(dst, pa.binary())], names=["src", "dst"])
@@ -214,9 +265,66 @@ def near_pairs(keyed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return both.mapInArrow(align, "src binary, dst binary")
 
 
+def _components(edges: DataFrame) -> DataFrame:
+    return written(connected_components(edges).select(F.col("node").alias("k"), F.col("component").alias("g")), "near-groups")
+
+
 def _groups(keyed: DataFrame, threshold: float) -> DataFrame:
-    """``(k, g)``: content key and group of the texts that have near duplicates; exact copies share k."""
-    return written(connected_components(near_pairs(keyed, threshold)).select(F.col("node").alias("k"), F.col("component").alias("g")), "near-groups")
+    """``(k, g)``: content key and group of the texts that have near duplicates; exact copies share k.
+
+    Every text with words is in SKETCHES buckets, and all texts of a bucket are compared, but for pairs
+    that lengths or words rule out and those already in one group. First each text meets the first of
+    its bucket and the one before it by length and key, which joins most families at a cost linear in
+    the bucket. Then the groups that still share a bucket meet: by a few pairs each, then by all pairs.
+    """
+
+    def mark(batches):
+        seen = set()
+        for b in batches:
+            keys, sizes, flags, marks = [], [], [], []
+            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if t is None or k in seen:
+                    continue
+                seen.add(k)
+                ws = words(t)
+                if ws:
+                    marks.append(sketch(ws))
+                    keys.append(k)
+                    sizes.append(len(ws))
+                    flags.append(_flags(ws))
+            ends = np.cumsum([0, *map(len, marks)]).astype(np.int32)
+            band = np.concatenate(marks).view(np.int64) if marks else np.zeros(0, np.int64)
+            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(band))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(flags, pa.binary()), bands], names=["k", "n", "flags", "bands"])
+
+    marks = written(keyed.select("k", "t").mapInArrow(mark, "k binary, n int, flags binary, bands array<long>").dropDuplicates(["k"]), "near-marks")
+    rows = marks.select(F.explode("bands").alias("band"), "k", "n")
+    w = W.partitionBy("band")
+    met = rows.select(
+        "band", "k", "n", F.count("*").over(w).alias("size"), (F.row_number().over(w.orderBy("n", "k")) - 1).alias("rank"),
+        *[f(c).over(w.orderBy("n", "k")).alias(p + c) for p, f in (("f", F.first), ("p", F.lag)) for c in ("k", "n")],
+    )
+    shared = written(met.where("size > 1"), "near-buckets")
+    # n is the longer of the two, since the bucket is ordered by length
+    ok = lambda p: F.col(p + "k").isNotNull() & (F.col(p + "k") != F.col("k")) & (F.col(p + "n") >= F.lit(threshold) * F.col("n") - 1e-6)
+    pairs = (
+        shared.select("k", F.explode(F.array_distinct(F.array_compact(F.array(*[F.when(ok(p), F.col(p + "k")) for p in "fp"])))).alias("o"))
+        .select(F.least("k", "o").alias("src"), F.greatest("k", "o").alias("dst"))
+        .distinct()
+    )
+    tried = written(pairs, "near-candidates")
+    needed = shared.select("k").distinct()
+    texts = written(keyed.select("k", "t").join(needed.hint("shuffle_hash"), "k", "left_semi").dropDuplicates(["k"]), "near-texts")
+    groups = _components(_aligned(tried, texts, threshold))
+    for most in (4, None):
+        found = written(_apart(shared, groups, marks, threshold, most), "near-candidates")
+        if found.isEmpty():
+            break
+        edges = written(_aligned(found.join(tried, ["src", "dst"], "left_anti"), texts, threshold), "near-edges")
+        if not edges.isEmpty():
+            groups = _components(edges.union(groups.select("k", "g")))
+        tried = tried.union(found)
+    return groups
 
 
 def _order() -> list[Column]:
