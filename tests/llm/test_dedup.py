@@ -197,3 +197,19 @@ def test_near_widely_shared_passage(spark, monkeypatch):
     rows = [(i, " ".join(passage + t)) for i, t in enumerate([*base, *edited])]
     got = {x.doc_id: x.kept_id for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(got) == 800 and all(got[i] == got[i + 400] for i in range(400)) and len(set(got.values())) == 400
+
+
+def test_near_short_texts_against_all_pairs(spark):
+    r = random.Random(4)
+    vocab = ["w%d" % i for i in range(2000)]
+    rows = []
+    for n in [4, 5, 6, 7, 8] * 8 + [*range(9, 32)]:
+        base = [r.choice(vocab) for _ in range(n)]
+        edited = list(base)
+        for at in r.sample(range(n), n // 4):
+            edited[at] = r.choice(vocab)
+        fewer = [w for i, w in enumerate(base) if i != r.randrange(n)] if n > 4 else base[1:]
+        rows += [" ".join(x) for x in (base, edited, fewer)]
+    rows = list(enumerate(rows))
+    got = [(x.doc_id, x.kept_id) for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(check_near(rows, got, 1)) > 100

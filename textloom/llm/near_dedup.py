@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from textloom.storage import written
 
 K, SKETCHES, PICKED = 3, 32, 2
 FLAGS, BLOCK = 1024, 4000
+TINY, SHORT = 8, 31  # most words of texts with keys by deletion, and of those with a key for each k-mer
 THRESHOLD = 0.75
 _RNG = np.random.default_rng(20_24)
 _MUL = _RNG.integers(1, 2**63, SKETCHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -161,6 +163,22 @@ def similar(a: list[str], b: list[str], threshold: float) -> bool:
     return abs(len(a) - len(b)) <= most and banded_distance(a, b, most) <= most
 
 
+def short_keys(ws: list[str], threshold: float) -> np.ndarray:
+    """More bucket keys for texts of up to SHORT words, whose sketches may share nothing with a near text's.
+
+    Two texts of up to TINY words within the edit budget agree after deleting as many words as the budget
+    from each. If the longer has more than TINY words, d <= n / 4 edits leave at least n - d words in at
+    most d + 1 runs, thus a run of K words: at thresholds from 0.75 on, no pair up to SHORT words is missed.
+    """
+    n, keys = len(ws), []
+    if n <= TINY:
+        kept = {c for d in range(int((1 - threshold) * n + 1e-9) + 1) for c in combinations(ws, n - d)}
+        keys.append(np.array([xxhash.xxh64_intdigest(" ".join(c).encode("utf-8", "surrogatepass"), 1) for c in sorted(kept)], np.uint64))
+    if threshold * (TINY + 1) - 1e-9 <= n <= SHORT:
+        keys.append(np.unique(kmers(ws)))
+    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+
+
 def _flags(ws: list[str]) -> bytes:
     """FLAGS bits: those that a text's words, each labelled by occurrence, are hashed to."""
     on = np.zeros(FLAGS, bool)
@@ -272,7 +290,7 @@ def _components(edges: DataFrame) -> DataFrame:
 def _groups(keyed: DataFrame, threshold: float) -> DataFrame:
     """``(k, g)``: content key and group of the texts that have near duplicates; exact copies share k.
 
-    Every text with words is in SKETCHES buckets, and all texts of a bucket are compared, but for pairs
+    Every text with words is in SKETCHES buckets, short ones in those of ``short_keys`` too, and all texts of a bucket are compared, but for pairs
     that lengths or words rule out and those already in one group. First each text meets the first of
     its bucket and the one before it by length and key, which joins most families at a cost linear in
     the bucket. Then the groups that still share a bucket meet: by a few pairs each, then by all pairs.
@@ -288,7 +306,7 @@ def _groups(keyed: DataFrame, threshold: float) -> DataFrame:
                 seen.add(k)
                 ws = words(t)
                 if ws:
-                    marks.append(sketch(ws))
+                    marks.append(np.unique(np.concatenate([sketch(ws), short_keys(ws, threshold)])))
                     keys.append(k)
                     sizes.append(len(ws))
                     flags.append(_flags(ws))
@@ -338,7 +356,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     Similarity is that of word sequences in lower case: 1 - edit distance / longer length, at least
     ``threshold``; groups are the connected components of such pairs, exact copies included. Texts
     without words (null, empty) are in no group. Repeated rows are copies of each other, each listed.
-    Very long texts are sketched and aligned whole. Ties: see ``_order``. Other columns are not read;
+    At thresholds from 0.75 on, pairs of texts of up to SHORT words are all found; longer ones are found if
+    their sketches meet. Very long texts are sketched and aligned whole. Ties: see ``_order``. Other columns are not read;
     an empty table has no groups.
     """
     keyed = _keyed(docs, id_col, text)
