@@ -79,3 +79,13 @@ def test_quality_odd_rows(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert 1 not in ids and 2 not in ids and 4 in ids
     assert Q.keep_quality(df.limit(0)).count() == 0
+
+
+def test_every_disguise_votes():
+    task = T.make_task([])
+    bit = 1 << T.VOTERS.index("disguised")
+    listed = "1d10t|id1ot|id!ot|st*pid|st**id|stu*id|stuppid|stupid|m0r0n|l0ser|f*ck|f**k|sh*t|sh!t|sh1t|b*tch|b!tch|b1tch|a$$hole|a**hole|a$*hole|s t u p i d|i d i o t|l o s e r"
+    for d in listed.split("|"):
+        for t in (d, d.upper(), f"({d})", f"line\n{d} end", f"so {d}, so"):
+            assert task.votes(t) & bit, t
+    assert not task.votes("a plain text, 10 * 10 = $100!") & bit

@@ -27,6 +27,7 @@ VOTERS = [*LEXICONS, *(f"mined{i}" for i in range(SLICES)), *PATTERNS]
 VOTER_AT = [DIMS - 64 + i for i in range(len(VOTERS))]
 _WORD = re.compile(r"\w+")
 _DISGUISE = re.compile(r"\b(?:1d10t|id[1!]ot|st[*u][*p]?[*p]id|m0r0n|l0ser|f[*]+c?k\w*|sh[*!1]t|b[*!1]tch|a[$*]{2}hole|(?:s t u p i d|i d i o t|l o s e r))\b")
+_MARKS = ("*", "1", "0", "!", "$", "stup", "i d i", "s t u", "l o s")  # whatever _DISGUISE matches has one
 _YOU = {"you", "your", "youre", "ur", "du", "dein", "ihr", "tu", "toi", "vous", "tú", "usted", "eres"}
 _STRONG = frozenset(w for k, v in LEXICONS.items() if k != "harm" for w in v.split())
 _HARM = (("kill", "yourself"), ("hate", "you"), ("go", "die"), ("should", "die"))
@@ -92,7 +93,7 @@ def make_task(mined: list[str]) -> Task:
             mask |= aimed
         if {"kill", "hate", "die"} & own and any(p in _HARM for p in zip(words, words[1:])):
             mask |= harm
-        if ("*" in low or "1" in low or "0" in low or "!" in low or " i d i" in low or "s t u" in low or "l o s" in low) and _DISGUISE.search(low):
+        if any(m in low for m in _MARKS) and _DISGUISE.search(low):
             mask |= disguised
         return mask, own
 
