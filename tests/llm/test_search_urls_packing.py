@@ -137,3 +137,13 @@ def test_packing_odd_rows(spark):
     assert all(sum(x[2] for x in v) == 100 for p, v in by.items() if p != max(by)) and all([x[0] for x in sorted(v)] == list(range(len(v))) for v in by.values())
     assert P.pack(df.limit(0)).count() == 0
     assert mounted("file:///a/b") == "/a/b"
+
+
+def test_url_query_takes_an_entries_table(spark, tmp_path):
+    pages = [(1, "http://bad.example.org/a"), (2, "http://ok.org/bad/page?x=1"), (3, "http://ok.org/good"), (4, "http://casino-win.example.com/"), (5, None)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    run = lambda: {r.page_id: (r.blocked, r.matched) for r in queries.op2_url_filter(spark, str(tmp_path)).collect()}
+    no = (False, None)
+    assert run() == {1: no, 2: no, 3: no, 4: (True, "casino-win.example.com"), 5: no}
+    spark.createDataFrame([("bad.example.org",), ("ok.org/bad",), ("http://ok.org/bad/other",), (None,)], "entry string").write.parquet(f"{tmp_path}/url_entries.parquet")
+    assert run() == {1: (True, "bad.example.org"), 2: (True, "ok.org/bad"), 3: no, 4: no, 5: no}

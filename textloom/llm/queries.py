@@ -26,9 +26,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page with the entry of the blocklist that covers its URL."""
+    """Every page with the entry of the blocklist that covers its URL.
+
+    The blocklist is the column ``entry`` (hosts, host/path prefixes, URLs) of a table url_entries if
+    there is one, else the six hosts of ``url_filter.BLOCKED_HOSTS``, which are those the SQL knows.
+    """
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.block_hosts(spark, pages).select("page_id", "url", F.col("matched").isNotNull().alias("blocked"), "matched")
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/url_entries.parquet")
+    if where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+        matched = url_filter.match_urls(pages, url_filter.build(_table(spark, sf_dir, "url_entries"), work_path(spark, "urls")))
+    else:
+        matched = url_filter.block_hosts(spark, pages)
+    return matched.select("page_id", "url", F.col("matched").isNotNull().alias("blocked"), "matched")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
