@@ -1,14 +1,17 @@
+import hashlib
 import math
 import random
 from collections import Counter, defaultdict
+from zlib import crc32
 
 import numpy as np
 import pytest
+import regex
 
 from textloom.llm import packing as P
 from textloom.llm import queries, search
 from textloom.llm import url_filter as U
-from textloom.llm.common import VOCAB, tiktoken_encoding
+from textloom.llm.common import PATTERN, VOCAB, tiktoken_encoding
 from textloom.storage import mounted, work_path
 
 SF = "/root/testdata/sf0.001"
@@ -100,11 +103,17 @@ def test_hilbert_is_a_curve():
     assert sorted(keys.tolist()) == list(range(512)) and (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
 
 
+def brute_coordinates(text):
+    """Pre-tokens cut by another engine; plain sums."""
+    n = Counter(crc32(w.encode()) % P.BUCKETS for p in regex.findall(PATTERN, text) if (w := p.strip().lower()))
+    long = math.sqrt(sum(n.values()))
+    return [round(sum(math.sqrt(c) / long * float(P._directions()[w, d]) for w, c in sorted(n.items())) * P.SCALE) for d in range(P.DIMS)]
+
+
 def brute_pack(rows, capacity):
     enc = tiktoken_encoding(VOCAB)
-    import hashlib
 
-    docs = [(d, hashlib.md5(t.encode()).digest(), len(enc.encode_ordinary(t)), P.coordinates(t)) for d, t in rows if t]
+    docs = [(d, hashlib.md5(t.encode()).digest(), len(enc.encode_ordinary(t)), brute_coordinates(t)) for d, t in rows if t]
     if not docs:
         return []
     x = np.array([d[3] for d in docs])
@@ -127,7 +136,7 @@ def test_packing_against_brute_force(spark, docs):
 
 
 def test_packing_odd_rows(spark):
-    rows = [(1, None), (2, ""), (3, " "), (4, "a b"), (4, "a b"), (None, "a b"), (5, "long " * 30_000), (6, "other words"), (7, "one")]
+    rows = [(1, None), (2, ""), (3, " "), (4, "a b"), (4, "a b"), (None, "a b"), (5, "long " * 30_000), (6, "other words"), (7, "one"), (8, "日本 ¼ naïve 👍🏽")]
     df = spark.createDataFrame([(*x, 1, 2) for x in rows], "doc_id long, text string, n int, h int")
     got = P.pack(df, 100).collect()
     assert sorted(((r.pack_id, r.doc_id, r.doc_from, r.doc_to, r.pack_from) for r in got), key=str) == brute_pack(rows, 100)

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from textloom.llm import bpe, queries, token_io
-from textloom.llm.common import VOCAB, Encoder, counter, tiktoken_encoding, whole_tokens
+from textloom.llm.common import VOCAB, Encoder, counter, pieces, tiktoken_encoding, whole_tokens
 from textloom.llm.token_counts import token_counts
 from textloom.storage import mounted, work_path
 
@@ -19,10 +19,32 @@ ODD = ["", " ", "\n\n  x", "it's we'll I'd 'sx", "a_b __ _", "½ ²x 3x x3", "na
 def test_encoder_equals_tiktoken(t):
     e = Encoder()
     assert e.ids(t).tolist() == ENC.encode_ordinary(t)
-    assert counter().count(t) == len(ENC.encode_ordinary(t))
+    assert counter(VOCAB, whole_tokens(VOCAB)).count(t) == len(ENC.encode_ordinary(t))
     assert e.decode(e.raw(t)) == t
 
 
+def test_every_character_is_cut_as_the_encoder_cuts_it():
+    """Each code point of the first planes, among letters, digits, signs and spaces; unassigned ones too."""
+    c = counter(VOCAB, whole_tokens(VOCAB))
+    for lo in range(0, 0x20000, 64):
+        t = "".join(f"a{x}1{x}!{x}'s {x}b {x} " for x in map(chr, range(lo, lo + 64)) if not 0xD800 <= ord(x) < 0xE000)
+        assert c.count(t) == len(ENC.encode_ordinary(t)), hex(lo)
+
+
+def test_shortcut_holds_in_texts_of_every_script():
+    class Counted(type(counter(VOCAB, frozenset()))):
+        def __missing__(self, piece):
+            merged.append(piece)
+            return super().__missing__(piece)
+
+    merged = []
+    text = "the quick brown fox says hello " * 200
+    for odd in ("👍", "Привет", "日本", "\U000323b0"):  # the last is unknown to some versions of Unicode
+        c = Counted(VOCAB, whole_tokens(VOCAB))
+        assert c.count(text + odd + " " + text) == len(ENC.encode_ordinary(text + odd + " " + text))
+    assert len(merged) <= 4 and all(len(m) < 12 for m in merged) and pieces("日本 x")[0] == "日本"
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from(" \n'stab1,é  "), max_size=25), min_size=1, max_size=6))
 def test_joins_are_repaired(parts):

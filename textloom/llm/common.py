@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import functools
 import re
+import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +18,45 @@ VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pre-tokens of byte-level BPE as tiktoken wants them.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# The same pre-tokens for texts whose characters all lie in blocks where the standard library's
-# classes can be spelled out; other texts go to tiktoken whole.
-_L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
-_OTHER = re.compile("[^\t\n\x0b\x0c\r -~\x85\xa0-ɏ -⁯]")
-_PRE = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
+# The same pre-tokens for the standard library, with the classes spelled out for the first 65,536 code points.
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _spelled(kinds: tuple[str, ...], but: str = "") -> str:
+    """A character class (without brackets) of the code points below 65,536 whose category starts with one of ``kinds``."""
+    out, start = [], None
+    for i in range(0x10001):
+        c = chr(i)
+        if i < 0x10000 and unicodedata.category(c).startswith(kinds) and c not in but:
+            start = i if start is None else start
+        elif start is not None:
+            out.append(f"\\u{start:04x}" + (f"-\\u{i - 1:04x}" if i - 1 > start else ""))
+            start = None
+    return "".join(out)
+
+
+_L, _N, _UNKNOWN = _spelled(("L",)), _spelled(("N",)), _spelled(("Cn", "Cs"))
+_PRE = re.compile(rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^{_WHITE}{_L}{_N}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+#: Code points that _PRE can't place: those beyond its classes, and those that this Python doesn't know.
+_RARE = re.compile(rf"[{_UNKNOWN}\U00010000-\U0010ffff]")
+#: Where a pre-token ends whatever stands around: white space after anything else.
+_BORDER = re.compile(rf"(?<=[^{_WHITE}{_UNKNOWN}\U00010000-\U0010ffff])(?=[{_WHITE}])")
+
+
+def pieces(text: str) -> list[str]:
+    """The pre-tokens of ``text``; a word with a character unknown to this Python comes whole, for the encoder to cut."""
+    if text.isascii() or not (rare := set(_RARE.findall(text))):
+        return _PRE.findall(text)
+    kinds = {c: unicodedata.category(c) for c in rare}
+    unknown = [c for c, k in kinds.items() if k in ("Cn", "Cs")]
+    if unknown:
+        out: list[str] = []
+        for part in _BORDER.split(text):
+            out += [part] if any(c in part for c in unknown) else pieces(part)
+        return out
+    # stand-ins of the same kind, one for one
+    proxy = text.translate({ord(c): "A" if k[0] == "L" else "0" if k[0] == "N" else "!" for c, k in kinds.items()})
+    return [text[m.start() : m.end()] for m in _PRE.finditer(proxy)]
 
 
 @functools.cache
@@ -41,7 +77,8 @@ def whole_tokens(path: str) -> frozenset[str]:
     """The vocabulary strings that are proved to encode, alone, as the one token that spells them.
 
     A string that is one pre-token and one token counts 1 wherever it is a pre-token, since merges
-    never cross pre-tokens.
+    never cross pre-tokens. The driver proves them once and broadcasts them; their number is bounded
+    by the vocabulary's.
     """
     enc, proved = tiktoken_encoding(path), set()
     for raw, i in ranks(path).items():
@@ -49,7 +86,7 @@ def whole_tokens(path: str) -> frozenset[str]:
             s = raw.decode("utf-8")
         except UnicodeDecodeError:
             continue
-        if not _OTHER.search(s) and _PRE.fullmatch(s) and enc.encode_ordinary(s) == [i]:
+        if not _RARE.search(s) and pieces(s) == [s] and enc.encode_ordinary(s) == [i]:
             proved.add(s)
     return frozenset(proved)
 
@@ -77,9 +114,7 @@ class Encoder:
 
     def raw(self, text: str) -> bytes:
         """Ids of ``text``: equal to encoding it whole."""
-        if _OTHER.search(text):
-            return np.array(self.enc.encode_ordinary(text), "<u4").tobytes()
-        return b"".join(map(self._ids.__getitem__, _PRE.findall(text)))
+        return b"".join(map(self._ids.__getitem__, pieces(text)))
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.raw(text), "<u4")
@@ -107,9 +142,9 @@ def encoder(path: str = VOCAB) -> Encoder:
 class Counter9(_Pieces):
     """Pre-token to its number of tokens: proved whole tokens from the start, the rest merged when met."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, whole: frozenset[str], most: int = 400_000):
         super().__init__(path, len, most)
-        self.whole = whole_tokens(path)
+        self.whole = whole
         self.clear()
 
     def clear(self) -> None:
@@ -117,14 +152,23 @@ class Counter9(_Pieces):
         self.update(dict.fromkeys(self.whole, 1))
 
     def count(self, text: str) -> int:
-        if _OTHER.search(text):
-            return len(self.enc.encode_ordinary(text))
-        return sum(map(self.__getitem__, _PRE.findall(text)))
+        return sum(map(self.__getitem__, pieces(text)))
 
 
-@functools.cache
-def counter(path: str = VOCAB) -> Counter9:
-    return Counter9(path)
+_counters: dict[str, Counter9] = {}
+
+
+def counter(path: str, whole: frozenset[str]) -> Counter9:
+    """One counter, with its cache, for each Python worker."""
+    if path not in _counters:
+        _counters[path] = Counter9(path, whole)
+    return _counters[path]
+
+
+def slices(b: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in slices, so that what Python makes of it at a time stays small whatever its texts' lengths."""
+    for i in range(0, len(b), rows):
+        yield b.slice(i, rows)
 
 
 def text_key(text: str | Column) -> Column:

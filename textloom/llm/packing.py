@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-import math
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.llm.common import VOCAB, counter, text_key
+from textloom.llm.common import VOCAB, Counter9, pieces, text_key, whole_tokens
 from textloom.storage import written
 
 DIMS, BITS, SCALE = 4, 12, 4096  # curve dimensions; bits of each; fixed point of coordinates, so that sums are exact
@@ -25,26 +25,54 @@ def _directions(seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((BUCKETS, DIMS)).astype(np.float32)
 
 
-class _Places(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        p = self[word] = crc32(word.encode()) % BUCKETS
-        return p
-
-
-_places = _Places()
+class Looks(dict):
+    """Pre-token to (its tokens) * 2^17 + (its place in the hashed vector, or BUCKETS for one that is no word)."""
 
+    def __init__(self, tokens: Counter9, most: int = 300_000):
+        super().__init__()
+        self.tokens, self.most = tokens, most
 
-def coordinates(text: str) -> list[int]:
-    """The document's hashed word vector (counts damped by a root, length 1), projected; fixed-point numbers."""
-    ws = text.lower().split()
-    if not ws:
-        return [0] * DIMS
-    at, n = np.unique(np.fromiter(map(_places.__getitem__, ws), np.int64, len(ws)), return_counts=True)
-    v = np.sqrt(n)
-    x = (v / np.linalg.norm(v)) @ _directions()[at].astype(np.float64)
-    return np.rint(x * SCALE).astype(np.int64).tolist()
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        word = piece.strip().lower()
+        made = self[piece] = self.tokens[piece] << 17 | (crc32(word.encode()) % BUCKETS if word else BUCKETS)
+        return made
+
+    def of(self, texts: list[str]) -> np.ndarray:
+        """Rows (tokens, x0, x1, ...) of ``texts``, each cut once: the count, and the hashed vector of the pre-tokens
+        in lower case without spaces (counts damped by a root, length 1) projected, in fixed-point numbers."""
+        codes: list[int] = []
+        times: list[int] = []
+        sizes = []
+        for t in texts:
+            found = Counter(pieces(t))
+            codes += map(self.__getitem__, found)
+            times += found.values()
+            sizes.append(len(found))
+        code, n = np.array(codes, np.int64), np.array(times, np.int64)
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        out = np.zeros((len(texts), 1 + DIMS), np.int64)
+        np.add.at(out[:, 0], doc, (code >> 17) * n)
+        place = code & (1 << 17) - 1
+        spot, at = np.unique((doc * (BUCKETS + 1) + place)[place < BUCKETS], return_inverse=True)
+        v = np.sqrt(np.bincount(at, n[place < BUCKETS], len(spot)))
+        doc, place = np.divmod(spot, BUCKETS + 1)
+        long = np.sqrt(np.bincount(doc, v * v, len(texts)))
+        v /= long[doc]
+        for d, way in enumerate(_directions().T):
+            out[:, 1 + d] = np.rint(np.bincount(doc, v * way[place], len(texts)) * SCALE)
+        return out
+
+
+_looks: dict[str, Looks] = {}
+
+
+def looks(path: str, whole: frozenset[str]) -> Looks:
+    """One for each Python worker."""
+    if path not in _looks:
+        _looks[path] = Looks(Counter9(path, whole))
+    return _looks[path]
 
 
 def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -77,35 +105,35 @@ def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def cells(coords: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
-    """Coordinates to cell numbers: through the normal distribution, so that cells fill evenly."""
-    z = (coords - mean) / np.where(sd > 0, sd, 1)
-    u = 0.5 * (1 + np.vectorize(math.erf, otypes=[float])(z / math.sqrt(2))) if z.size else z
+    """Coordinates to cell numbers: through the logistic curve next to the normal distribution, so that cells fill evenly."""
+    u = 1 / (1 + np.exp(-1.702 * (coords - mean) / np.where(sd > 0, sd, 1)))
     return np.clip((u * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
 
 
 def pack(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text: str = "text", vocab: str = VOCAB) -> DataFrame:
     """``(pack_id, place, doc_id, doc_from, doc_to, pack_from)``: which tokens of which document stand where.
 
-    Documents are ordered along the Hilbert curve (ties by id, null last, then by content) and laid
-    end to end; pack p holds tokens p*capacity up to (p+1)*capacity of that run, so every pack but
+    Documents are ordered along the Hilbert curve (ties by id, null last, then by content, then by place) and
+    laid end to end; pack p holds tokens p*capacity up to (p+1)*capacity of that run, so every pack but
     the last is full, and a document that crosses a border goes on in the next pack. ``place`` numbers
     the pieces in a pack from 0.
 
     Only (id, content key, token count, coordinates) leave the first pass; they are written to the
     shared folder, ranged by key and numbered there, so texts are never shuffled. Mean and spread
     of the coordinates come from all documents, summed as whole numbers. Null and empty texts have
-    no tokens and are in no pack; repeated rows are packed as often as they occur; other columns
-    are not read; an empty table gives no packs.
+    no tokens and are in no pack; repeated rows are packed as often as they occur; very long texts are
+    cut whole and cross as many packs as they need; other columns are not read; an empty table gives no packs.
     """
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t")).where("t is not null and t <> ''")
     fields = "n long, " + ", ".join(f"x{i} long" for i in range(DIMS))
 
+    whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(vocab))
+
     @F.arrow_udf(f"struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>")
     def look(a: pa.Array) -> pa.Array:
-        c = counter(vocab)
-        rows = [[c.count(t), *coordinates(t)] for t in a.to_pylist()]
-        cols = list(zip(*rows)) if rows else [[]] * (DIMS + 1)
-        return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in cols], ["n", *(f"x{i}" for i in range(DIMS))])
+        own = looks(vocab, whole.value)
+        rows = np.concatenate([np.zeros((0, 1 + DIMS), np.int64), *(own.of(a.slice(i, 256).to_pylist()) for i in range(0, len(a), 256))])
+        return pa.StructArray.from_arrays([pa.array(x) for x in rows.T], ["n", *(f"x{i}" for i in range(DIMS))])
 
     light = written(src.select("id", text_key("t").alias("k"), look("t").alias("s")).select("id", "k", "s.*"), "pack-documents")
     xs = [f"x{i}" for i in range(DIMS)]
@@ -118,8 +146,9 @@ def pack(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text: st
     def curve(*cols: pa.Array) -> pa.Array:
         return pa.array(hilbert(cells(np.stack([c.to_numpy(zero_copy_only=False) for c in cols], axis=1), mean, sd)), pa.int64())
 
-    order = [F.col("h").asc(), F.col("id").asc_nulls_last(), F.col("k").asc()]
-    keyed = light.select("id", "k", "n", curve(*xs).alias("h"))
+    # the place in the table is last, so that equal rows, however many, fall into several ranges
+    order = [F.col("h").asc(), F.col("id").asc_nulls_last(), F.col("k").asc(), F.col("seq").asc()]
+    keyed = light.select("id", "k", "n", curve(*xs).alias("h"), F.monotonically_increasing_id().alias("seq"))
     ranged = written(keyed.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "pack-ranges")
     parts = sorted((r["part"], r["n"]) for r in ranged.groupBy("part").agg(F.sum("n").alias("n")).collect())
     before, at = [], 0

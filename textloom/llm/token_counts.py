@@ -6,21 +6,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import VOCAB, counter
+from textloom.llm.common import VOCAB, counter, whole_tokens
 
 
 def token_counts(docs: DataFrame, text: str = "text", out: str = "n_tokens", vocab: str = VOCAB) -> DataFrame:
     """``docs`` with ``out``: the exact number of BPE tokens of each text, one pass, no shuffle.
 
-    Offline, every vocabulary string is tried once: those that encode alone as their own single
-    token are proved. A text's pre-tokens that are proved count 1 without merging; only the rest
-    are merged, once per worker while they stay cached. Null text gives null, empty text 0. Rows,
-    ties and other columns are kept as they are; a column named like ``out`` is replaced.
+    Before the scan, the driver tries every vocabulary string once: those that encode alone as their
+    own single token are proved, and broadcast (as many as the vocabulary has at most). A text's pre-tokens that are proved count 1 without merging; only the rest
+    are merged, once per worker while they stay cached. Null text gives null, empty text 0; texts of any
+    length and script are cut whole, only words with characters unknown to this Python go to the encoder
+    uncut. Rows, ties and other columns are kept as they are; a column named like ``out`` is replaced.
     """
 
+    whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(vocab))
+
     @F.arrow_udf("long")
     def n(texts: pa.Array) -> pa.Array:
-        c = counter(vocab)
+        c = counter(vocab, whole.value)
         return pa.array([None if t is None else c.count(t) for t in texts.to_pylist()], pa.int64())
 
     return docs.withColumn(out, n(F.col(f"`{text}`").cast("string")))
