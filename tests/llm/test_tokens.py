@@ -1,4 +1,6 @@
+import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -49,8 +51,46 @@ def test_shortcut_holds_in_texts_of_every_script():
 @given(st.lists(st.text(st.sampled_from(" \n'stab1,é  "), max_size=25), min_size=1, max_size=6))
 def test_joins_are_repaired(parts):
     e = Encoder()
-    spans = [(p, e.raw(p)) for p in parts if p] or [("", b"")]
-    assert np.frombuffer(bpe.join_spans(e, spans), "<u4").tolist() == ENC.encode_ordinary("".join(parts))
+    for known in (lambda i: True, lambda i: i % 2, lambda i: i % 3 == 0):
+        spans = [(p, e.raw(p) if known(i) else None) for i, p in enumerate(parts) if p] or [("", b"")]
+        assert np.frombuffer(bpe.join_spans(e, spans), "<u4").tolist() == ENC.encode_ordinary("".join(parts))
+
+
+def test_joins_of_long_texts_without_spaces_are_linear():
+    """Chunks all known, a megabyte each: letters only, letters and signs, base64; about the time of encoding them whole."""
+    r = random.Random(3)
+    kinds = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(350_000)), "".join(chr(r.randrange(0x4E00, 0x9FA5)) + "，" * (i % 9 == 0) for i in range(300_000)), "".join(r.choice("ABCDEFabcdef0123456789+/") for _ in range(1_000_000))]
+    for text in kinds:
+        e = Encoder(most=1000)
+        known, at = [], 0
+        for c in bpe.chunks(text):
+            known.append((at, len(c), e.raw(c.decode())))
+            at += len(c)
+        t = time.process_time()
+        whole = e.raw(text)
+        whole_s, t = time.process_time() - t, time.process_time()
+        assert bpe.encode_with(e, text.encode(), known) == whole
+        assert time.process_time() - t < 3 * whole_s + 2
+
+
+def test_copies_are_encoded_once(spark, tmp_path, monkeypatch):
+    """Calls of the encoder are counted over all workers: a text's copies, in one partition or several, cost its chunks once and small joins."""
+    r = random.Random(7)
+    text = " ".join("".join(r.choice("abcdefgh") for _ in range(7)) for _ in range(6000))
+
+    class Noted(Encoder):
+        def raw(self, t):
+            with open(f"{tmp_path}/{os.getpid()}", "a") as f:
+                f.write(f"{len(t)}\n")
+            return super().raw(t)
+
+    monkeypatch.setattr(bpe, "encoder", lambda path: Noted(path))
+    for hot in (1000, 3):
+        rows = [(i, text) for i in range(24)] + [(100 + i, f"own text {i}") for i in range(8)]
+        got = bpe.bpe_encode(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), hot_share=1e-9, hot_least=hot).collect()
+        assert {x.doc_id: list(x.token_ids) for x in got} == {i: ENC.encode_ordinary(t) for i, t in rows}
+    done = sum(int(x) for p in tmp_path.iterdir() for x in p.read_text().split())
+    assert len(text) < done < 2 * 3 * len(text)  # two runs; 24 copies each
 
 
 def test_chunks_follow_content(docs):
@@ -79,6 +119,10 @@ def test_bpe_odd_rows(spark):
     back = bpe.bpe_decode(bpe.bpe_encode(df, out="k"), ids="k").collect()
     assert all(r.decoded == r.text for r in back)
     assert bpe.bpe_encode(df.limit(0)).count() == 0
+    low = bpe.bpe_encode(df.withColumnRenamed("k", "Token_IDs"))
+    assert low.columns == ["doc_id", "text", "ck", "known", "token_ids"] and low.count() == len(rows)
+    hot = bpe.bpe_encode(df, hot_share=1e-9, hot_least=1).collect()
+    assert all((r.token_ids is None) if r.text is None else list(r.token_ids) == ENC.encode_ordinary(r.text) for r in hot) and len(hot) == len(rows)
 
 
 def test_counts(spark, docs):

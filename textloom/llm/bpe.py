@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -10,43 +11,49 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import VOCAB, Encoder, encoder, packed
+from textloom.llm.common import _L, _N, _UNKNOWN, _WHITE, VOCAB, Encoder, encoder, packed, slices
 from textloom.storage import written
 
 #: Chunks are cut where a rolling hash of 32 bytes has MASK_BITS low zeros, within these sizes.
 LEAST, MOST, MASK_BITS = 256, 8192, 9
 _GEAR = np.array([(lambda z: (z ^ (z >> 29)) & 0xFFFFFFFF)((i + 1) * 0x9E3779B97F4A7C15 * (2 * i + 1) >> 13) for i in range(256)], np.uint32)
-#: A place where a space or line feed follows a character that isn't white space: a pre-token ends
-#: there whatever stands around it, since no pre-token has white space after another character.
-_SAFE = re.compile(r"(?<=\S)[ \n]")
+_O = rf"^{_L}{_N}{_WHITE}{_UNKNOWN}\U00010000-\U0010ffff"  # other signs that are known
+#: A place where a pre-token ends whatever stands around it: before white space after anything else, and
+#: between letters, digits and other signs, but not after an apostrophe, which may begin a contraction.
+_SAFE = re.compile(rf"(?<=[{_L}{_N}])[{_WHITE}]|(?<=[{_O}])[{_WHITE}{_N}]|(?<=[{_L}{_N}])[{_O}]|(?<=[{_L}])[{_N}]|(?<=[{_N}])[{_L}]|(?<=[{_O}'])(?<!')[{_L}]")
 
 
-def cuts(data: bytes) -> list[int]:
-    """Ends of the chunks of UTF-8 ``data``; they depend on nearby content alone and split no character."""
-    n = len(data)
-    if n <= LEAST:
-        return [n] if n else []
-    b = np.frombuffer(data, np.uint8)
+def _rolled(b: np.ndarray) -> np.ndarray:
+    """The places after which the rolling hash of the last 32 bytes has MASK_BITS low zeros."""
     h = _GEAR[b]
     for s in (1, 2, 4, 8, 16):
         h[s:] += h[:-s] << np.uint32(s)
-    marks = (np.flatnonzero(h & np.uint32((1 << MASK_BITS) - 1) == 0) + 1).tolist()
-    ends, at = [], 0
+    return np.flatnonzero(h & np.uint32((1 << MASK_BITS) - 1) == 0) + 1
+
+
+def _ends(b: np.ndarray, marks: list[int], lo: int, hi: int) -> list[int]:
+    """Ends of the chunks of the text at b[lo:hi], which has ``marks``."""
+    ends, at = [], lo
 
     def cut(c: int) -> int:
-        while c < n and b[c] & 0xC0 == 0x80:
+        while c < hi and b[c] & 0xC0 == 0x80:
             c += 1
-        ends.append(c)
+        if c < hi:
+            ends.append(c)
         return c
 
-    for m in [*marks, n]:
+    for m in [*marks, hi]:
         while m - at > MOST:
             at = cut(at + MOST)
-        if m - at >= LEAST and m < n:
+        if m - at >= LEAST and m < hi:
             at = cut(m)
-    if at < n:
-        ends.append(n)
-    return ends
+    return [*ends, hi] if at < hi else ends
+
+
+def cuts(data: bytes) -> list[int]:
+    """Ends of the chunks of UTF-8 ``data``; they depend on nearby content alone and split no character."""
+    b = np.frombuffer(data, np.uint8)
+    return _ends(b, _rolled(b).tolist(), 0, len(b))
 
 
 def chunks(text: str) -> list[bytes]:
@@ -57,120 +64,163 @@ def chunks(text: str) -> list[bytes]:
     return out
 
 
-def join_spans(e: Encoder, spans: list[tuple[str, bytes]]) -> bytes:
-    """Ids of the spans' joined text, from each span's own ids.
+def _first_agreed(e: Encoder, part: str, ids: bytes) -> tuple[int, int] | None:
+    """The first safe place of ``part``, and how many bytes of its ``ids`` spell what is before it."""
+    for m in _SAFE.finditer(part):
+        head = e.raw(part[: m.start()])
+        if ids.startswith(head):
+            return m.start(), len(head)
+    return None
+
+
+def _last_agreed(e: Encoder, part: str, ids: bytes) -> tuple[int, int] | None:
+    """The last safe place of ``part``, and how many bytes of its ``ids`` spell what is after it."""
+    start = len(part)
+    for back in (48, 1024, len(part)):
+        stop, start = start, max(0, len(part) - back)
+        for m in reversed([*_SAFE.finditer(part, start, stop)]):
+            tail = e.raw(part[m.start() :])
+            if ids.endswith(tail):
+                return m.start(), len(tail)
+    return None
+
+
+def join_spans(e: Encoder, spans: list[tuple[str, bytes | None]]) -> bytes:
+    """Ids of the spans' joined text, from the ids that each has by itself (None: it has none yet).
 
     At a join, the text from the last safe place of the left side to the first safe place of the
     right side is encoded anew. The places hold only if the ids that each side has there are exactly
-    those of its tail and head; else the window grows until they agree, at worst to both whole sides.
+    those of its tail and head; else the next place is tried. A side without a place becomes part of
+    the window, and windows that meet are one, so no character is encoded more than three times.
     """
     out: list[bytes] = []
-    text, ids = spans[0]
-    for right, rids in spans[1:]:
-        left_places = [m.start() for m in _SAFE.finditer(text, max(0, len(text) - 400))] or [m.start() for m in _SAFE.finditer(text)]
-        while True:
-            a = left_places.pop() if left_places else 0
-            tail = e.raw(text[a:])
-            if a == 0 or ids.endswith(tail):
-                break
-        keep = ids[: len(ids) - len(tail)] if a else b""
-        for m in _SAFE.finditer(right):
-            head = e.raw(right[: m.start()])
-            if rids.startswith(head):
-                out += [keep, e.raw(text[a:] + right[: m.start()])]
-                text, ids = right[m.start() :], rids[len(head) :]
-                break
-        else:
-            out.append(keep)
-            text = text[a:] + right
-            ids = e.raw(text)
-    return b"".join([*out, ids])
-
-
-def encode_with(e: Encoder, text: str, known: dict[int, bytes]) -> bytes:
-    """Ids of ``text``; chunk k comes from ``known[k]`` where it's there, runs of others are encoded."""
-    if not known:
-        return e.raw(text)
-    spans: list[tuple[str, bytes]] = []
-    run: list[bytes] = []
-    for k, c in enumerate(chunks(text)):
-        if k in known:
-            if run:
-                t = b"".join(run).decode()
-                spans.append((t, e.raw(t)))
-                run = []
-            spans.append((c.decode(), known[k]))
-        else:
-            run.append(c)
-    if run:
-        t = b"".join(run).decode()
-        spans.append((t, e.raw(t)))
+    window: list[str] = []
+    for k, (part, ids) in enumerate(spans):
+        first = (0, 0) if k == 0 else ids is not None and _first_agreed(e, part, ids)
+        last = (len(part), 0) if k == len(spans) - 1 else ids is not None and _last_agreed(e, part, ids)
+        if ids is None or not first or not last or first[0] > last[0]:
+            window.append(part)
+            continue
+        window.append(part[: first[0]])
+        out += [e.raw("".join(window)), ids[first[1] : len(ids) - last[1]]]
+        window = [part[last[0] :]]
+    return b"".join([*out, e.raw("".join(window))])
+
+
+def encode_with(e: Encoder, data: bytes, known: list[tuple[int, int, bytes]]) -> bytes:
+    """Ids of UTF-8 ``data``; ``known`` has (place, length, ids) of chunks, in any order, repeated or not."""
+    spans: list[tuple[str, bytes | None]] = []
+    at = 0
+    for lo, n, ids in sorted(known):
+        if lo >= at:
+            if lo > at:
+                spans.append((data[at:lo].decode(), None))
+            spans.append((data[lo : lo + n].decode(), ids))
+            at = lo + n
+    if at < len(data) or not spans:
+        spans.append((data[at:].decode(), None))
     return join_spans(e, spans)
 
 
-def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", vocab: str = VOCAB) -> DataFrame:
+def _flat(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes behind an array of strings, and where each one ends (one more than there are)."""
+    a = a.cast(pa.large_binary())
+    _, off, data = a.buffers()
+    ends = np.frombuffer(off, np.int64)[a.offset : a.offset + len(a) + 1]
+    return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), ends
+
+
+def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", vocab: str = VOCAB, hot_share: float = 1 / 2000, hot_least: int = 1000) -> DataFrame:
     """``docs`` with ``out``, the ids of each whole text (array<int>), equal to encoding it in one go.
 
-    1. Texts are cut into content-defined chunks; (text key, place, chunk key) rows are shuffled by
-       chunk key and those that occur more than once stay: shared chunks. No text moves here.
-    2. Each shared chunk is encoded once, in the text that holds it first.
+    1. Texts are cut into content-defined chunks; rows (text key, place, length, chunk key, copies) are
+       shuffled by content key, so copies of a text count but are kept once, then by chunk key: chunks
+       that occur more than once, in copies of one text too, are shared. No text moves here.
+    2. Each shared chunk is encoded once, in one text that holds it.
     3. Every text gets the ids of its shared chunks, encodes what isn't shared and repairs the joins.
 
-    Texts are shuffled once (both uses share the exchange) by a 128-bit content key, so repeated
-    rows are right whatever their other columns hold. Null text gives null ids, empty text an empty
-    array, an empty table an empty result; nulls elsewhere are kept. A column named ``out`` is replaced.
+    Texts are shuffled once (both uses share the exchange) by a 128-bit content key and a salt. What is
+    hot, by ``hot_share`` of all rows and at least ``hot_least``, has its own way, so no task gets more:
+    chunks in that many texts (at most 1 / hot_share of them, of MOST bytes each) are broadcast; copies of a
+    text that is there as often are dealt out by a hash of their other columns, and its ids with them.
+
+    Null text gives null ids, empty text an empty array, an empty table an empty result; nulls
+    elsewhere are kept, repeated rows and other columns too. Very long texts are whole, in time linear in
+    their length. A column named ``out`` (in any case) is replaced, at the end.
     """
-    keyed, unpack = packed(docs, text, drop=(out,))
+    keyed, unpack = packed(docs, text, drop=tuple(c for c in docs.columns if c.lower() == out.lower()))
 
     def mark(batches):
-        seen = set()
         for b in batches:
-            keys, places, cks = [], [], []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if t and k not in seen:
-                    seen.add(k)
-                    for i, c in enumerate(chunks(t)):
-                        keys.append(k)
-                        places.append(i)
-                        cks.append(xxhash.xxh3_128_digest(c))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(places, pa.int32()), pa.array(cks, pa.binary())], names=["k", "i", "ck"])
-
-    rows = written(keyed.select("k", "t").mapInArrow(mark, "k binary, i int, ck binary"), "chunks")
-    shared = rows.groupBy("ck").agg(F.count("*").alias("n"), F.min(F.struct("k", "i")).alias("first")).where("n > 1")
-    marks = written(
-        rows.join(shared, "ck").select("ck", "k", "i", (F.struct("k", "i") == F.col("first")).alias("owner")).distinct(),
-        "chunk-marks",
-    )
-
-    owners = marks.where("owner").groupBy("k").agg(F.collect_list(F.struct("i", "ck")).alias("own"))
-    owning = keyed.join(owners.hint("shuffle_hash"), "k").dropDuplicates(["k"])
-    text_at, own_at = owning.columns.index("t"), owning.columns.index("own")
+            keys = b.column(0).to_pylist()
+            copies = Counter(keys)
+            for lo in range(0, len(b), 512):
+                part = b.column(1).slice(lo, 512)
+                data, ends = _flat(part)
+                base, rows = int(ends[0]), []
+                data, ends = data[base : int(ends[-1])], (ends - base).tolist()
+                marks = _rolled(data)
+                held = memoryview(data)
+                for i, (p, q) in enumerate(zip(ends, ends[1:])):
+                    if p < q and (m := copies.pop(keys[lo + i], 0)):
+                        at = p
+                        for c in _ends(data, marks[slice(*np.searchsorted(marks, (p + 32, q)))].tolist(), p, q):
+                            rows.append((keys[lo + i], at - p, c - at, xxhash.xxh3_128_digest(held[at:c]), m))
+                            at = c
+                cols = list(zip(*rows)) if rows else [[]] * 5
+                kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["k", "at", "n", "ck", "m"])
+
+    found = keyed.where("t is not null").select("k", "t").mapInArrow(mark, "k binary, at int, n int, ck binary, m long")
+    rows = written(found.groupBy("k", "at", "n", "ck").agg(F.sum("m").alias("m")), "chunks")
+    holders = rows.groupBy("ck").agg(F.sum("m").alias("times"), F.count("*").alias("texts"), F.min(F.struct("k", "at", "n")).alias("first"))
+    shared = written(holders.where("times > 1").select("ck", "texts", "first.*"), "shared-chunks")
+
+    hot = lambda n: max(hot_least, int(n * hot_share))
+    size = rows.agg(F.count("*").alias("rows"), F.sum(F.when(F.col("at") == 0, F.col("m"))).alias("texts")).first()
+    often = hot(size["texts"] or 0)
+    many = rows.where((F.col("at") == 0) & (F.col("m") > often)).select("k", F.ceil(F.col("m") / often).cast("int").alias("salts"))
+    many = F.broadcast(written(many, "hot-texts"))  # 1 / hot_share of them at most
+    dealt = lambda df: df.join(many, "k", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    salted = keyed.join(many, "k", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("r"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
+
+    # of a hot text that isn't dealt to salt 0 no chunk is encoded here: step 3 does without
+    owners = shared.groupBy("k").agg(F.collect_list(F.struct("at", "n", "ck")).alias("own")).withColumn("salt", F.lit(0))
+    owning = salted.join(owners.hint("shuffle_hash"), ["k", "salt"]).select("k", F.col("t").cast("binary").alias("t"), "own")
 
     def once(batches):
-        e = encoder(vocab)
+        e, seen = encoder(vocab), set()
         for b in batches:
-            cks, ids = [], []
-            for t, own in zip(b.column(text_at).to_pylist(), b.column(own_at).to_pylist()):
-                parts = chunks(t)
-                for o in own:
-                    cks.append(o["ck"])
-                    ids.append(e.raw(parts[o["i"]].decode()))
-            yield pa.RecordBatch.from_arrays([pa.array(cks, pa.binary()), pa.array(ids, pa.binary())], names=["ck", "ids"])
-
-    encoded = owning.mapInArrow(once, "ck binary, ids binary")
-    known = marks.select("ck", "k", "i").join(encoded, "ck").groupBy("k").agg(F.collect_list(F.struct("i", "ids")).alias("known"))
+            for s in slices(b, 64):
+                cks, ids = [], []
+                for k, t, own in zip(*(s.column(i).to_pylist() for i in range(3))):
+                    if k not in seen:
+                        seen.add(k)
+                        for o in own:
+                            cks.append(o["ck"])
+                            ids.append(e.raw(t[o["at"] : o["at"] + o["n"]].decode()))
+                yield pa.RecordBatch.from_arrays([pa.array(cks, pa.binary()), pa.array(ids, pa.binary())], names=["ck", "ids"])
+
+    encoded = written(owning.mapInArrow(once, "ck binary, ids binary"), "shared-ids")
+    wide = shared.where(F.col("texts") > hot(size["rows"])).select("ck")  # 1 / hot_share of them at most
+    common = F.broadcast(encoded.join(F.broadcast(wide), "ck"))
+    place = ["k", "at", "n", "ids"]
+    rest = rows.join(F.broadcast(wide), "ck", "left_anti").join(encoded, "ck").select(place)
+    known = rest.union(rows.join(common, "ck").select(place)).groupBy("k").agg(F.collect_list(F.struct("at", "n", "ids")).alias("known"))
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array, known: pa.Array) -> pa.Array:
-        e, got = encoder(vocab), []
-        for t, k in zip(texts, known):
-            got.append(None if not t.is_valid else encode_with(e, t.as_py(), {x["i"]: x["ids"] for x in k.as_py() or ()}))
-        ends = np.cumsum([0, *(len(g) // 4 if g else 0 for g in got)])
-        flat = pa.array(np.frombuffer(b"".join(filter(None, got)), "<i4"))
-        mask = pa.array([g is None for g in got])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=mask)
-
-    full = keyed.join(known.hint("shuffle_hash"), "k", "left")
+        e, made = encoder(vocab), []
+        for lo in range(0, max(1, len(texts)), 256):
+            got = []
+            for t, ks in zip(texts.slice(lo, 256).cast(pa.large_binary()).to_pylist(), known.slice(lo, 256).to_pylist()):
+                got.append(None if t is None else encode_with(e, t, [(x["at"], x["n"], x["ids"]) for x in ks or ()]))
+            ends = np.cumsum([0, *(len(g) // 4 if g else 0 for g in got)])
+            flat = pa.array(np.frombuffer(b"".join(filter(None, got)), "<i4"))
+            made.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array([g is None for g in got], pa.bool_())))
+        return pa.concat_arrays(made)
+
+    full = salted.join(dealt(known).hint("shuffle_hash"), ["k", "salt"], "left")
     return full.select(*unpack, encode("t", "known").alias(out))
 
 
@@ -179,13 +229,16 @@ def bpe_decode(df: DataFrame, ids: str = "token_ids", out: str = "decoded", voca
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        e, n = encoder(vocab), len(lists)
-        flat = lists.values.to_numpy(zero_copy_only=False)
-        if lists.values.null_count:
-            flat = np.nan_to_num(flat, nan=-1)
-        flat = np.where((flat < 0) | (flat > 2**32 - 1), 2**32 - 1, flat).astype("<u4")
-        at = lists.offsets.to_numpy()
-        got = [e.decode(flat[at[i] : at[i + 1]].tobytes()) if lists[i].is_valid else None for i in range(n)]
-        return pa.array(got, pa.string())
-
-    return df.withColumn(out, decode(F.col(ids).cast("array<bigint>")))
+        e, got = encoder(vocab), []
+        for lo in range(0, max(1, len(lists)), 256):
+            part = lists.slice(lo, 256)
+            at = part.offsets.to_numpy()
+            flat = part.values.slice(at[0], at[-1] - at[0])
+            flat = flat.to_numpy(zero_copy_only=False) if not flat.null_count else np.nan_to_num(flat.to_numpy(zero_copy_only=False), nan=-1)
+            flat = np.where((flat < 0) | (flat > 2**32 - 1), 2**32 - 1, flat).astype("<u4")
+            at = (at - at[0]).tolist()
+            got.append(pa.array([e.decode(flat[p:q].tobytes()) if v else None for p, q, v in zip(at, at[1:], part.is_valid().to_pylist())], pa.string()))
+        return pa.concat_arrays(got)
+
+    kind = df.schema[ids].dataType.simpleString()
+    return df.withColumn(out, decode(F.col(f"`{ids}`") if kind in ("array<int>", "array<bigint>") else F.col(f"`{ids}`").cast("array<bigint>")))
