@@ -140,9 +140,10 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
     3. Every text gets the ids of its shared chunks, encodes what isn't shared and repairs the joins.
 
     Texts are shuffled once (both uses share the exchange) by a 128-bit content key and a salt. What is
-    hot, by ``hot_share`` of all rows and at least ``hot_least``, has its own way, so no task gets more:
-    chunks in that many texts (at most 1 / hot_share of them, of MOST bytes each) are broadcast; copies of a
-    text that is there as often are dealt out by a hash of their other columns, and its ids with them.
+    hot, by ``hot_share`` of all rows and at least ``hot_least``, is salted, so no task gets much more: texts
+    that hold such a chunk are dealt out by their keys, copies of such a text by a hash of their other
+    columns, and the ids are repeated for every salt. Of the keys that are hot, at most 1 / hot_share, a
+    table (key, salts) is broadcast.
 
     Null text gives null ids, empty text an empty array, an empty table an empty result; nulls
     elsewhere are kept, repeated rows and other columns too. Very long texts are whole, in time linear in
@@ -181,7 +182,7 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
     often = hot(size["texts"] or 0)
     many = rows.where((F.col("at") == 0) & (F.col("m") > often)).select("k", F.ceil(F.col("m") / often).cast("int").alias("salts"))
     many = F.broadcast(written(many, "hot-texts"))  # 1 / hot_share of them at most
-    dealt = lambda df: df.join(many, "k", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    dealt = lambda df, hot, key: df.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
     salted = keyed.join(many, "k", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("r"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
 
     # of a hot text that isn't dealt to salt 0 no chunk is encoded here: step 3 does without
@@ -201,12 +202,13 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
                             ids.append(e.raw(t[o["at"] : o["at"] + o["n"]].decode()))
                 yield pa.RecordBatch.from_arrays([pa.array(cks, pa.binary()), pa.array(ids, pa.binary())], names=["ck", "ids"])
 
-    encoded = written(owning.mapInArrow(once, "ck binary, ids binary"), "shared-ids")
-    wide = shared.where(F.col("texts") > hot(size["rows"])).select("ck")  # 1 / hot_share of them at most
-    common = F.broadcast(encoded.join(F.broadcast(wide), "ck"))
-    place = ["k", "at", "n", "ids"]
-    rest = rows.join(F.broadcast(wide), "ck", "left_anti").join(encoded, "ck").select(place)
-    known = rest.union(rows.join(common, "ck").select(place)).groupBy("k").agg(F.collect_list(F.struct("at", "n", "ids")).alias("known"))
+    encoded = owning.mapInArrow(once, "ck binary, ids binary")
+    within = hot(size["rows"])
+    wide = shared.where(F.col("texts") > within).select("ck", F.ceil(F.col("texts") / within).cast("int").alias("salts"))
+    wide = F.broadcast(wide)  # 1 / hot_share of them at most
+    each = dealt(encoded, wide, "ck")
+    place = rows.join(wide, "ck", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("k"), F.col("salts")), F.lit(0)).cast("int"))
+    known = place.select("ck", "salt", "k", "at", "n").join(each, ["ck", "salt"]).groupBy("k").agg(F.collect_list(F.struct("at", "n", "ids")).alias("known"))
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array, known: pa.Array) -> pa.Array:
@@ -220,7 +222,7 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
             made.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array([g is None for g in got], pa.bool_())))
         return pa.concat_arrays(made)
 
-    full = salted.join(dealt(known).hint("shuffle_hash"), ["k", "salt"], "left")
+    full = salted.join(dealt(known, many, "k").hint("shuffle_hash"), ["k", "salt"], "left")
     return full.select(*unpack, encode("t", "known").alias(out))
 
 
