@@ -186,15 +186,16 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
     salted = keyed.join(many, "k", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("r"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
 
     # of a hot text that isn't dealt to salt 0 no chunk is encoded here: step 3 does without
-    owners = shared.groupBy("k").agg(F.collect_list(F.struct("at", "n", "ck")).alias("own")).withColumn("salt", F.lit(0))
-    owning = salted.join(owners.hint("shuffle_hash"), ["k", "salt"]).select("k", F.col("t").cast("binary").alias("t"), "own")
+    owners = shared.groupBy("k").agg(F.collect_list(F.struct("at", "n", "ck")).alias("own")).withColumn("salt", F.least(F.size("own"), F.lit(0)))  # 0, in a way that keeps it a key of the join
+    owning = salted.join(owners.hint("shuffle_hash"), ["k", "salt"])  # all columns, else the exchange isn't the one of step 3
+    key_at, text_at, own_at = map(owning.columns.index, ("k", "t", "own"))
 
     def once(batches):
         e, seen = encoder(vocab), set()
         for b in batches:
             for s in slices(b, 64):
                 cks, ids = [], []
-                for k, t, own in zip(*(s.column(i).to_pylist() for i in range(3))):
+                for k, t, own in zip(s.column(key_at).to_pylist(), s.column(text_at).cast(pa.large_binary()).to_pylist(), s.column(own_at).to_pylist()):
                     if k not in seen:
                         seen.add(k)
                         for o in own:
@@ -206,9 +207,10 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
     within = hot(size["rows"])
     wide = shared.where(F.col("texts") > within).select("ck", F.ceil(F.col("texts") / within).cast("int").alias("salts"))
     wide = F.broadcast(wide)  # 1 / hot_share of them at most
-    each = dealt(encoded, wide, "ck")
-    place = rows.join(wide, "ck", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("k"), F.col("salts")), F.lit(0)).cast("int"))
-    known = place.select("ck", "salt", "k", "at", "n").join(each, ["ck", "salt"]).groupBy("k").agg(F.collect_list(F.struct("at", "n", "ids")).alias("known"))
+    each = dealt(encoded, wide, "ck").withColumnRenamed("salt", "turn")
+    place = rows.join(wide, "ck", "left").withColumn("turn", F.coalesce(F.pmod(F.xxhash64("k"), F.col("salts")), F.lit(0)).cast("int"))
+    place = dealt(place.select("ck", "turn", "k", "at", "n"), many, "k")
+    known = place.join(each, ["ck", "turn"]).groupBy("k", "salt").agg(F.collect_list(F.struct("at", "n", "ids")).alias("known"))
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array, known: pa.Array) -> pa.Array:
@@ -222,7 +224,7 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
             made.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array([g is None for g in got], pa.bool_())))
         return pa.concat_arrays(made)
 
-    full = salted.join(dealt(known, many, "k").hint("shuffle_hash"), ["k", "salt"], "left")
+    full = salted.join(known.hint("shuffle_hash"), ["k", "salt"], "left")
     return full.select(*unpack, encode("t", "known").alias(out))
 
 
