@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -30,6 +31,33 @@ def test_banded_distance(a, b, most):
     assert N.banded_distance(a, b, most) == (e if e <= most else most + 1)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), max_size=60), st.lists(st.sampled_from("abcd"), max_size=60), st.integers(0, 30))
+def test_banded_distance_in_windows(a, b, most):
+    before, N.WINDOWED = N.WINDOWED, 0
+    try:
+        e = edit(a, b)
+        assert N.banded_distance(a, b, most) == (e if e <= most else most + 1)
+    finally:
+        N.WINDOWED = before
+
+
+def test_long_texts_align_in_little_memory():
+    """Two texts of 2 MB, edited at both ends and here and there; one cut in two and turned round."""
+    import tracemalloc
+
+    r = random.Random(6)
+    vocab = ["w%d" % i for i in range(30_000)]
+    a = ["the" if r.random() < 0.1 else r.choice(vocab) for _ in range(290_000)]
+    b = ["start", *(w if r.random() > 0.0002 else "new" for w in a[:-1]), "end"]
+    tracemalloc.start()
+    assert N.similar(a, b, N.THRESHOLD) and sum(map(len, a)) + len(a) > 1_800_000
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+    c = a[:20_000]
+    assert not N.similar(c, c[10_000:] + c[:10_000], N.THRESHOLD)
+
+
 def test_sketch_follows_edit_similarity():
     r = random.Random(5)
     text = lambda: [str(r.randrange(3000)) for _ in range(300)]
@@ -187,7 +215,8 @@ def test_near_hub_family(spark):
     assert want <= {d for d, k in kept.items() if k == kept[0]}
 
 
-def test_near_widely_shared_passage(spark, monkeypatch):
+@pytest.mark.parametrize("split", [False, True])
+def test_near_widely_shared_passage(spark, monkeypatch, split):
     monkeypatch.setattr(N, "BLOCK", 64)  # so that buckets take several blocks
     r = random.Random(9)
     vocab = ["w%d" % i for i in range(5000)]
@@ -195,6 +224,9 @@ def test_near_widely_shared_passage(spark, monkeypatch):
     base = [[r.choice(vocab) for _ in range(80)] for _ in range(400)]
     edited = [[r.choice(vocab) if r.random() < 0.1 else w for w in b] for b in base]
     rows = [(i, " ".join(passage + t)) for i, t in enumerate([*base, *edited])]
+    if split:  # so that buckets are dealt out in parts
+        monkeypatch.setattr(N, "PART", 150)
+        monkeypatch.setattr(N, "PARTS", 10**9)
     got = {x.doc_id: x.kept_id for x in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(got) == 800 and all(got[i] == got[i + 400] for i in range(400)) and len(set(got.values())) == 400
 

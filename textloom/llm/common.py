@@ -171,6 +171,12 @@ def slices(b: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield b.slice(i, rows)
 
 
+def few(a: pa.Array, rows: int = 256) -> Iterator:
+    """The items of an array, of which no more than ``rows`` are Python objects at a time."""
+    for i in range(0, len(a), rows):
+        yield from a.slice(i, rows).to_pylist()
+
+
 def text_key(text: str | Column) -> Column:
     """128-bit key of a text's content, never null (a null text has the key of no text)."""
     c = F.col(text) if isinstance(text, str) else text

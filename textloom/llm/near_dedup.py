@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from itertools import combinations
 
@@ -12,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.llm.common import packed, text_key
+from textloom.llm.common import packed, slices, text_key
 from textloom.operators.components import connected_components
 from textloom.storage import written
 
 K, SKETCHES, PICKED = 3, 32, 2
 FLAGS, BLOCK = 1024, 4000
+WINDOWED = 4096  # words from which on alignment makes bits for one band at a time
+PART, PARTS = 100_000, 100_000  # a bucket with more rows than PART, and than one in PARTS of all rows, is split
 TINY, SHORT = 8, 31  # most words of texts with keys by deletion, and of those with a key for each k-mer
 THRESHOLD = 0.75
 _RNG = np.random.default_rng(20_24)
@@ -86,6 +89,43 @@ def sketch(ws: list[str]) -> np.ndarray:
     return out
 
 
+class _Whole:
+    """Where words stand in a text, as one integer a word; for short texts."""
+
+    def __init__(self, ws: list[str], width: int):
+        self.full, self.where = (1 << width) - 1, {}
+        for i, w in enumerate(ws):
+            self.where[w] = self.where.get(w, 0) | 1 << i
+
+    def at(self, w: str, start: int) -> int:
+        """The bits of the places from ``start`` on, as many as the band is wide."""
+        x = self.where.get(w, 0)
+        return (x >> start if start >= 0 else x << -start) & self.full
+
+
+class _Places:
+    """The same from lists of places: bits are made for one band at a time, so memory follows the text's length."""
+
+    def __init__(self, ws: list[str], width: int):
+        self.width, self.where = width, {}
+        for i, w in enumerate(ws):
+            self.where.setdefault(w, []).append(i)
+
+    def at(self, w: str, start: int) -> int:
+        places = self.where.get(w)
+        if not places:
+            return 0
+        lo, hi = bisect_left(places, start), bisect_left(places, start + self.width)
+        if hi - lo <= 12:
+            x = 0
+            for p in places[lo:hi]:
+                x |= 1 << p - start
+            return x
+        on = np.zeros(self.width, bool)
+        on[np.array(places[lo:hi]) - start] = True
+        return int.from_bytes(np.packbits(on, bitorder="little").tobytes(), "little")
+
+
 def banded_distance(a: list[str], b: list[str], most: int) -> int:
     """Word edit distance of ``a`` and ``b`` if it is at most ``most``, else ``most + 1``.
 
@@ -110,17 +150,14 @@ def banded_distance(a: list[str], b: list[str], most: int) -> int:
             return m if m <= most else most + 1
         if most_here == m:
             return min(_distance(a, b), most + 1)
-    where: dict[str, int] = {}
-    for i, w in enumerate(a):
-        where[w] = where.get(w, 0) | 1 << i
     width = 2 * most + 2
     full, top = (1 << width) - 1, 1 << width - 1
     vp, vn = full << width - most - 1 & full, 0
     dist, start = most, most + 1 - width
     low = 1 << width - 2
+    seen = _Places(a, width) if m > WINDOWED else _Whole(a, width)
     for i, w in enumerate(b):
-        eq = where.get(w, 0)
-        x = (eq >> start if start >= 0 else eq << -start) & full
+        x = seen.at(w, start)
         d0 = ((((x & vp) + vp) ^ vp) | x | vn) & full
         hp = (vn | ~(d0 | vp)) & full
         hn = d0 & vp
@@ -157,10 +194,17 @@ def _distance(a: list[str], b: list[str]) -> int:
 
 
 def similar(a: list[str], b: list[str], threshold: float) -> bool:
-    """Whether 1 - edit distance / longer length reaches ``threshold``."""
+    """Whether 1 - edit distance / longer length reaches ``threshold``. Bands are tried from narrow to wide."""
     n = max(len(a), len(b))
     most = int((1 - threshold) * n + 1e-9)
-    return abs(len(a) - len(b)) <= most and banded_distance(a, b, most) <= most
+    if abs(len(a) - len(b)) > most:
+        return False
+    band = 128
+    while band < most:
+        if band >= abs(len(a) - len(b)) and banded_distance(a, b, band) <= band:
+            return True
+        band *= 6
+    return banded_distance(a, b, most) <= most
 
 
 def short_keys(ws: list[str], threshold: float) -> np.ndarray:
@@ -196,8 +240,8 @@ def _met(keys: pa.Array, n: np.ndarray, group: np.ndarray, flags: np.ndarray, si
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == side.max())
     on = np.unpackbits(flags, axis=1).astype(np.float32)
     count, other = on.sum(axis=1), on[right].T
-    for lo in range(0, len(left), 512):
-        l = left[lo : lo + 512]
+    for lo in range(0, len(left), 256):
+        l = left[lo : lo + 256]
         far = np.maximum.outer(count[l], count[right]) - on[l] @ other
         edits = np.floor((1 - threshold) * np.maximum.outer(n[l], n[right]) + 1e-9)
         ok = (far <= edits + 0.5) & (np.abs(np.subtract.outer(n[l], n[right])) <= edits) & (group[l][:, None] != group[right][None, :])
@@ -216,19 +260,22 @@ def _met(keys: pa.Array, n: np.ndarray, group: np.ndarray, flags: np.ndarray, si
             yield pa.RecordBatch.from_arrays([keys.take(pa.array(a)), keys.take(pa.array(b))], names=["a", "b"])
 
 
-def _apart(shared: DataFrame, groups: DataFrame, marks: DataFrame, threshold: float, most: int | None) -> DataFrame:
+def _apart(shared: DataFrame, hot: DataFrame, groups: DataFrame, marks: DataFrame, threshold: float, most: int | None) -> DataFrame:
     """Pairs ``(src, dst)`` that share a bucket and aren't in one group, from all pairs of each bucket.
 
     Buckets whose texts are all in one group are done, and so are those of up to three texts, which
-    have met already. The rest are cut into blocks of BLOCK texts by length, and each block meets each.
+    have met already (``size`` is that of the whole bucket). The rest are cut into blocks of BLOCK texts by length, and each block meets each.
     """
-    placed = shared.where("size > 3").join(groups, "k", "left").select("band", "k", "n", "size", "rank", F.coalesce("g", "k").alias("g"))
-    mixed = placed.groupBy("band").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("band")
-    own = F.floor(F.col("rank") / BLOCK).cast("int")
+    placed = shared.where("size > 3").join(groups, "k", "left").select("band", "part", "k", "n", "size", "rank", F.coalesce("g", "k").alias("g"))
+    mixed = _spread(placed.groupBy("band").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("band"), hot)
+    a_part = F.ceil(F.lit(PART) / BLOCK).cast("int")  # blocks of a part of a split bucket
+    own = F.when(F.col("size") > PART, F.col("part") * a_part).otherwise(0) + F.least(F.floor(F.col("rank") / BLOCK).cast("int"), a_part - 1)
+    # a part may be somewhat over PART, since rows are dealt out by hash: its last block takes the rest
+    last = F.when(F.col("size") > PART, F.ceil(F.col("size") / PART).cast("int") * a_part).otherwise(F.ceil(F.col("size") / BLOCK).cast("int")) - 1
     rows = (
-        placed.join(mixed, "band", "left_semi")
+        placed.join(mixed, ["band", "part"], "left_semi")
         .join(marks.select("k", "flags"), "k")
-        .select("band", "k", "n", "g", "flags", own.alias("own"), F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / BLOCK).cast("int"))).alias("other"))
+        .select("band", "k", "n", "g", "flags", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
         .select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "k", "n", "g", "flags")
     )
 
@@ -260,22 +307,30 @@ def _apart(shared: DataFrame, groups: DataFrame, marks: DataFrame, threshold: fl
     return sorted_rows.mapInArrow(meet, "a binary, b binary").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
 
 
+def _spread(bands: DataFrame, hot: DataFrame) -> DataFrame:
+    """``bands`` once for each part of a split bucket."""
+    parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    return bands.join(hot, "band", "left").withColumn("part", F.explode(parts)).drop("parts", "rows")
+
+
 def _aligned(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The ``pairs`` (src, dst) whose texts reach ``threshold``."""
 
     def align(batches):
+        own, bag, last = [], Counter(), None
         for b in batches:
-            src, dst, own, bag, last = [], [], [], Counter(), None
-            for s, d, x, y in zip(*(b.column(i).to_pylist() for i in range(4))):
-                if s != last:
-                    own, last = words(x), s
-                    bag = Counter(own)
-                other = words(y)
-                n = max(len(own), len(other))
-                # words that the other lacks cost an edit each
-                if n - (bag & Counter(other)).total() <= (1 - threshold) * n + 1e-9 and similar(own, other, threshold):
-                    src.append(s)
-                    dst.append(d)
+            src, dst = [], []
+            for part in slices(b, 64):
+                for s, d, x, y in zip(*(part.column(i).to_pylist() for i in range(4))):
+                    if s != last:
+                        own, last = words(x), s
+                        bag = Counter(own)
+                    other = words(y)
+                    n = max(len(own), len(other))
+                    # words that the other lacks cost an edit each
+                    if n - (bag & Counter(other)).total() <= (1 - threshold) * n + 1e-9 and similar(own, other, threshold):
+                        src.append(s)
+                        dst.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(src, pa.binary()), pa.array(dst, pa.binary())], names=["src", "dst"])
 
     one = pairs.join(texts.select(F.col("k").alias("dst"), F.col("t").alias("y")), "dst")
@@ -294,32 +349,39 @@ def _groups(keyed: DataFrame, threshold: float) -> DataFrame:
     that lengths or words rule out and those already in one group. First each text meets the first of
     its bucket and the one before it by length and key, which joins most families at a cost linear in
     the bucket. Then the groups that still share a bucket meet: by a few pairs each, then by all pairs.
+    Buckets of more than PART rows are dealt out in parts by a hash of the key, for the first step too.
     """
 
     def mark(batches):
-        seen = set()
         for b in batches:
-            keys, sizes, flags, marks = [], [], [], []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if t is None or k in seen:
-                    continue
-                seen.add(k)
-                ws = words(t)
-                if ws:
-                    marks.append(np.unique(np.concatenate([sketch(ws), short_keys(ws, threshold)])))
-                    keys.append(k)
-                    sizes.append(len(ws))
-                    flags.append(_flags(ws))
-            ends = np.cumsum([0, *map(len, marks)]).astype(np.int32)
-            band = np.concatenate(marks).view(np.int64) if marks else np.zeros(0, np.int64)
-            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(band))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(flags, pa.binary()), bands], names=["k", "n", "flags", "bands"])
+            seen = set()
+            for part in slices(b):
+                keys, sizes, flags, marks = [], [], [], []
+                for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if t is None or k in seen:
+                        continue
+                    seen.add(k)
+                    ws = words(t)
+                    if ws:
+                        marks.append(np.unique(np.concatenate([sketch(ws), short_keys(ws, threshold)])))
+                        keys.append(k)
+                        sizes.append(len(ws))
+                        flags.append(_flags(ws))
+                ends = np.cumsum([0, *map(len, marks)]).astype(np.int32)
+                band = np.concatenate(marks).view(np.int64) if marks else np.zeros(0, np.int64)
+                bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(band))
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(flags, pa.binary()), bands], names=["k", "n", "flags", "bands"])
 
     marks = written(keyed.select("k", "t").mapInArrow(mark, "k binary, n int, flags binary, bands array<long>").dropDuplicates(["k"]), "near-marks")
     rows = marks.select(F.explode("bands").alias("band"), "k", "n")
-    w = W.partitionBy("band")
-    met = rows.select(
-        "band", "k", "n", F.count("*").over(w).alias("size"), (F.row_number().over(w.orderBy("n", "k")) - 1).alias("rank"),
+    counts = rows.groupBy("band").agg(F.count("*").alias("rows"))
+    total = marks.agg(F.sum(F.size("bands"))).first()[0] or 0
+    # at most PARTS rows, since each stands for that share of all
+    hot = F.broadcast(written(counts.where(F.col("rows") > max(PART, total // PARTS)).select("band", "rows", F.ceil(F.col("rows") / PART).cast("int").alias("parts")), "near-hot"))
+    dealt = rows.join(hot, "band", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("k"), F.col("parts")), F.lit(0)).cast("int"))
+    w = W.partitionBy("band", "part")
+    met = dealt.select(
+        "band", "part", "k", "n", F.coalesce("rows", F.count("*").over(w)).alias("size"), (F.row_number().over(w.orderBy("n", "k")) - 1).alias("rank"),
         *[f(c).over(w.orderBy("n", "k")).alias(p + c) for p, f in (("f", F.first), ("p", F.lag)) for c in ("k", "n")],
     )
     shared = written(met.where("size > 1"), "near-buckets")
@@ -335,7 +397,7 @@ def _groups(keyed: DataFrame, threshold: float) -> DataFrame:
     texts = written(keyed.select("k", "t").join(needed.hint("shuffle_hash"), "k", "left_semi").dropDuplicates(["k"]), "near-texts")
     groups = _components(_aligned(tried, texts, threshold))
     for most in (4, None):
-        found = written(_apart(shared, groups, marks, threshold, most), "near-candidates")
+        found = written(_apart(shared, hot, groups, marks, threshold, most), "near-candidates")
         if found.isEmpty():
             break
         edges = written(_aligned(found.join(tried, ["src", "dst"], "left_anti"), texts, threshold), "near-edges")

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import VOCAB, counter, whole_tokens
+from textloom.llm.common import VOCAB, counter, few, whole_tokens
 
 
 def token_counts(docs: DataFrame, text: str = "text", out: str = "n_tokens", vocab: str = VOCAB) -> DataFrame:
@@ -24,6 +24,6 @@ def token_counts(docs: DataFrame, text: str = "text", out: str = "n_tokens", voc
     @F.arrow_udf("long")
     def n(texts: pa.Array) -> pa.Array:
         c = counter(vocab, whole.value)
-        return pa.array([None if t is None else c.count(t) for t in texts.to_pylist()], pa.int64())
+        return pa.array([None if t is None else c.count(t) for t in few(texts)], pa.int64())
 
     return docs.withColumn(out, n(F.col(f"`{text}`").cast("string")))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import text_key
+from textloom.llm.common import few, text_key
 
 SHIFT = 24  # a vote pattern is fired | judged << SHIFT
 DIMS = 1 << 18
@@ -181,7 +181,7 @@ def train(docs: DataFrame, text: str, task: Task, train_rows: int) -> tuple[Labe
 
     @F.arrow_udf("long")
     def votes(a: pa.Array) -> pa.Array:
-        return pa.array([task.votes(x) for x in a.to_pylist()], pa.int64())
+        return pa.array([task.votes(x) for x in few(a)], pa.int64())
 
     patterns = t.select(votes("t").alias("v")).groupBy("v").count().collect()
     masks, counts = np.array([r["v"] for r in patterns], np.int64), np.array([r["count"] for r in patterns], float)
@@ -190,7 +190,7 @@ def train(docs: DataFrame, text: str, task: Task, train_rows: int) -> tuple[Labe
     @F.arrow_udf("struct<v: bigint, i: binary, x: binary>")
     def featured(a: pa.Array) -> pa.Array:
         vs, ids, xs = [], [], []
-        for x in a.to_pylist():
+        for x in few(a):
             i, w = task.features(x)
             vs.append(task.votes(x))
             ids.append(np.asarray(i, "<i4").tobytes())
@@ -216,7 +216,7 @@ def score(docs: DataFrame, text: str, task: Task, linear: Linear, out: str) -> D
     @F.arrow_udf("double")
     def p(a: pa.Array) -> pa.Array:
         got = []
-        for x in a.to_pylist():
+        for x in few(a):
             if x is None:
                 got.append(None)
             else:
