@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import free_name
+from textloom.llm.common import free_name, slices
 from textloom.llm.weak import DIMS, SHIFT, Linear, Task, score, train
+from textloom.storage import written
 
 #: Common terms of abuse by theme; each theme is one voter.
 LEXICONS = {
@@ -33,13 +36,13 @@ _STRONG = frozenset(w for k, v in LEXICONS.items() if k != "harm" for w in v.spl
 _HARM = (("kill", "yourself"), ("hate", "you"), ("go", "die"), ("should", "die"))
 
 
-def mine_lexicon(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label_rows: int = 20_000, most: int = 5_000, least_share: float = 0.75, p_value: float = 3e-5) -> list[str]:
+def mine_lexicon(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label_rows: int = 20_000, least_share: float = 0.75, p_value: float = 3e-5) -> list[str]:
     """Words that mark labelled toxic documents, for languages and slang that no list covers.
 
-    ``label_rows`` bounds the labelled sample (least hashes of the id first), so it can be broadcast;
-    ``most`` bounds the lexicon. A word is taken if at least ``least_share`` of the documents with it
-    are toxic and that many toxic ones by chance is less likely than ``p_value``. Rows without id,
-    text or label are ignored.
+    ``label_rows`` bounds the labelled sample (least hashes of the id first), so it can be broadcast, and
+    with it the lexicon. Words are tallied in the joined rows alone, per partition, then summed. A word
+    is taken if at least ``least_share`` of the documents with it are toxic and that many toxic ones by
+    chance is less likely than ``p_value``. Rows without id, text or label are ignored.
     """
     known = (
         labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("y"))
@@ -47,26 +50,35 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame, text: str = "text", id_col:
         .orderBy(F.xxhash64("id"), "id", "y")
         .limit(label_rows)
     )
-    pairs = (
-        docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-        .where("t is not null")
-        .join(F.broadcast(known), "id")
-        .select("y", F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(r"(?U)(\w+)"), F.lit(1))).alias("ws"))
-    )
-    size = pairs.groupBy().agg(F.count("*").alias("n"), F.sum("y").alias("n1")).first()
-    n, n1 = size["n"], size["n1"] or 0
+    pairs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t")).join(F.broadcast(known), "id").select("y", "t")
+
+    def tally(batches):
+        all_, toxic, sizes = Counter(), Counter(), [0, 0]
+        for b in batches:
+            for s in slices(b):
+                for y, t in zip(s.column(0).to_pylist(), s.column(1).to_pylist()):
+                    if t is not None:
+                        own = set(_WORD.findall(t.lower()))
+                        all_.update(own)
+                        sizes[0] += 1
+                        if y:
+                            toxic.update(own)
+                            sizes[1] += 1
+        ws = list(all_)
+        cols = [None, *ws], [sizes[0], *map(all_.__getitem__, ws)], [sizes[1], *map(toxic.__getitem__, ws)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64()))], names=["w", "d", "d1"])
+
+    df = written(pairs.mapInArrow(tally, "w string, d long, d1 long").groupBy("w").agg(F.sum("d").alias("d"), F.sum("d1").alias("d1")), "tally")
+    size = df.where("w is null").first()
+    n, n1 = (size["d"], size["d1"]) if size else (0, 0)
     if not n1 or n1 == n:
         return []
-    rate, need = n1 / n, math.log(p_value)
-    df = pairs.select("y", F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("d"), F.sum("y").alias("d1"))
-    least = max(3, math.ceil(need / math.log(rate))) if rate < 1 else 3
-    found = df.where((F.col("d1") >= least) & (F.col("d1") >= least_share * F.col("d"))).orderBy(F.desc("d1"), "w").limit(most).collect()
-    # Chernoff bound on the binomial tail, for words that some clean documents have too
-    def chance(d: int, d1: int) -> float:
-        q = d1 / d
-        return -d * (q * math.log(q / rate) + ((1 - q) * math.log((1 - q) / (1 - rate)) if q < 1 else 0))
-
-    return [r["w"] for r in found if chance(r["d"], r["d1"]) <= need]
+    rate = n1 / n
+    q, z = F.col("d1") / F.col("d"), F.lit(0.0)
+    # Chernoff bound on the binomial tail
+    far = q * F.ln(q / rate) + F.when(q < 1, (1 - q) * F.ln((1 - q) / (1 - rate))).otherwise(z)
+    sure = df.where("w is not null and d1 > 0").where((q >= least_share) & (q > rate) & (-F.col("d") * far <= math.log(p_value)))
+    return [r["w"] for r in sure.select("w").orderBy("w").collect()]
 
 
 def make_task(mined: list[str]) -> Task:
