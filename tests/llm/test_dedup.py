@@ -193,12 +193,37 @@ def test_exact_against_brute_force(spark, docs):
     assert X.drop_duplicates(df.where("new"), F.col("new")).count() > 0
 
 
-def test_exact_screen_never_misses(spark):
-    snap = spark.range(5000).selectExpr("unhex(md5(cast(id as string))) as k")
-    filters, n = X.snapshot_filters(snap, per_filter=700)
-    assert n == 8 and filters.count() == 8
-    seen = X.screen(spark.range(2500, 12500).selectExpr("unhex(md5(cast(id as string))) as k"), filters, n)
-    assert 2500 <= seen.count() < 2700 and seen.join(snap, "k").count() == 2500
+def test_exact_screen_never_misses(spark, tmp_path):
+    keys = lambda a, b: spark.range(a, b).selectExpr("unhex(md5(cast(id as string))) as k")
+    paths = ["file://" + str(tmp_path / x) for x in "abc"]
+    for p, (a, b) in zip(paths, ((0, 5000), (7000, 7100), (0, 0))):
+        X.build_filters(keys(a, b), p, per_filter=700)
+    filters = [X.load_filters(spark, p) for p in paths]
+    assert [f.count() for f in filters] == [8, 1, 0]
+    for per_task in (500_000, 100):  # one turn and many
+        seen = X.screen(keys(2500, 12500), filters[:1], per_task)
+        assert 2500 <= seen.count() < 2700 and seen.join(keys(0, 5000), "k").count() == 2500
+        both = X.screen(keys(2500, 12500), filters, per_task)
+        assert 2600 <= both.count() < 2850 and both.distinct().count() == both.count()
+    assert X.screen(keys(0, 10), filters[2:]).count() == 0
+    with pytest.raises(Exception, match="(?i)already exists"):
+        X.build_filters(keys(0, 1), paths[0])
+
+
+def test_exact_hot_texts_and_clashing_digests(spark, monkeypatch):
+    """Copies beyond what one task should get, rows equal in everything, no snapshot at all; digests that differ in nothing."""
+    hot = X.hot_keys
+    monkeypatch.setattr(X, "hot_keys", lambda c, k, n, total: hot(c, k, n, total, 0.01, 20))
+    rows = [(i, "hot", i % 3 > 0) for i in range(300)] + [(None, "same", True)] * 50 + [(7, "same2", False)] * 40 + [(1000 + i, f"u{i}", True) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, new boolean").withColumn("m", F.create_map(F.lit("a"), F.col("doc_id")))
+    for d in (df, df.where("new")):
+        want = brute_exact([(x.doc_id, x.text, x.new) for x in d.collect()])
+        assert sorted((tuple(x) for x in X.mark_duplicates(d, F.col("new")).collect()), key=str) == want
+        assert sorted((x.doc_id for x in X.drop_duplicates(d, F.col("new")).collect()), key=str) == sorted((i for i, _, dup in want if not dup), key=str)
+    monkeypatch.setattr(X, "text_key", lambda c: F.unhex(F.substring(F.md5(c), 1, 2)))
+    want = brute_exact(rows)
+    assert sorted((tuple(x) for x in X.mark_duplicates(df, F.col("new")).collect()), key=str) == want
+    assert sorted((x.doc_id for x in X.drop_duplicates(df, F.col("new")).collect()), key=str) == sorted((i for i, _, dup in want if not dup), key=str)
 
 
 def test_near_hub_family(spark):

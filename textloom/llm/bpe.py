@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import _L, _N, _UNKNOWN, _WHITE, VOCAB, Encoder, encoder, packed, slices
+from textloom.llm.common import _L, _N, _UNKNOWN, _WHITE, VOCAB, Encoder, dealt, encoder, hot_keys, packed, repeated, row_hash, slices
 from textloom.storage import written
 
 #: Chunks are cut where a rolling hash of 32 bytes has MASK_BITS low zeros, within these sizes.
@@ -149,7 +149,7 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
     elsewhere are kept, repeated rows and other columns too. Very long texts are whole, in time linear in
     their length. A column named ``out`` (in any case) is replaced, at the end.
     """
-    keyed, unpack = packed(docs, text, drop=tuple(c for c in docs.columns if c.lower() == out.lower()))
+    keyed, unpack = packed(docs, text, drop=tuple(c for c in docs.columns if c.lower() == out.lower()), more=[row_hash(docs, text).alias("h")])
 
     def mark(batches):
         for b in batches:
@@ -177,13 +177,9 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
     holders = rows.groupBy("ck").agg(F.sum("m").alias("times"), F.count("*").alias("texts"), F.min(F.struct("k", "at", "n")).alias("first"))
     shared = written(holders.where("times > 1").select("ck", "texts", "first.*"), "shared-chunks")
 
-    hot = lambda n: max(hot_least, int(n * hot_share))
     size = rows.agg(F.count("*").alias("rows"), F.sum(F.when(F.col("at") == 0, F.col("m"))).alias("texts")).first()
-    often = hot(size["texts"] or 0)
-    many = rows.where((F.col("at") == 0) & (F.col("m") > often)).select("k", F.ceil(F.col("m") / often).cast("int").alias("salts"))
-    many = F.broadcast(written(many, "hot-texts"))  # 1 / hot_share of them at most
-    dealt = lambda df, hot, key: df.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
-    salted = keyed.join(many, "k", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("r"), F.col("salts")), F.lit(0)).cast("int")).drop("salts")
+    many = hot_keys(rows.where("at = 0"), "k", "m", size["texts"] or 0, hot_share, hot_least)
+    salted = dealt(keyed, many, "k", F.col("h"))
 
     # of a hot text that isn't dealt to salt 0 no chunk is encoded here: step 3 does without
     owners = shared.groupBy("k").agg(F.collect_list(F.struct("at", "n", "ck")).alias("own")).withColumn("salt", F.least(F.size("own"), F.lit(0)))  # 0, in a way that keeps it a key of the join
@@ -204,12 +200,10 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
                 yield pa.RecordBatch.from_arrays([pa.array(cks, pa.binary()), pa.array(ids, pa.binary())], names=["ck", "ids"])
 
     encoded = owning.mapInArrow(once, "ck binary, ids binary")
-    within = hot(size["rows"])
-    wide = shared.where(F.col("texts") > within).select("ck", F.ceil(F.col("texts") / within).cast("int").alias("salts"))
-    wide = F.broadcast(wide)  # 1 / hot_share of them at most
-    each = dealt(encoded, wide, "ck").withColumnRenamed("salt", "turn")
-    place = rows.join(wide, "ck", "left").withColumn("turn", F.coalesce(F.pmod(F.xxhash64("k"), F.col("salts")), F.lit(0)).cast("int"))
-    place = dealt(place.select("ck", "turn", "k", "at", "n"), many, "k")
+    wide = hot_keys(shared, "ck", "texts", size["rows"], hot_share, hot_least)
+    each = repeated(encoded, wide, "ck", "turn")
+    place = dealt(rows, wide, "ck", F.xxhash64("k"), "turn")
+    place = repeated(place.select("ck", "turn", "k", "at", "n"), many, "k")
     known = place.join(each, ["ck", "turn"]).groupBy("k", "salt").agg(F.collect_list(F.struct("at", "n", "ids")).alias("known"))
 
     @F.arrow_udf("array<int>")

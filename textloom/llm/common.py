@@ -12,6 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from textloom.storage import written
 
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -183,18 +186,41 @@ def text_key(text: str | Column) -> Column:
     return F.coalesce(F.unhex(F.md5(c.cast("string"))), F.lit(bytearray(b"\0" * 16)))
 
 
-def packed(docs: DataFrame, text: str, drop: tuple[str, ...] = ()) -> tuple[DataFrame, list[Column]]:
-    """``(k, t, r)``: content key, text as string, and all other columns in one struct, so no name can clash.
+def packed(docs: DataFrame, text: str, drop: tuple[str, ...] = (), more: list[Column] = []) -> tuple[DataFrame, list[Column]]:
+    """``(k, t, r)`` and ``more``: content key, text as string, and all other columns in one struct, so no name can clash.
 
     Also the columns that give the input's own columns back, in order, without those in ``drop``.
     """
     names = [c for c in docs.columns if c not in drop]
     rest = [F.col(f"`{c}`") for c in names if c != text] or [F.lit(0).alias("none")]
     t = F.col(f"`{text}`").cast("string")
-    df = docs.select(text_key(t).alias("k"), t.alias("t"), F.struct(*rest).alias("r"))
+    df = docs.select(text_key(t).alias("k"), t.alias("t"), F.struct(*rest).alias("r"), *more)
     return df, [F.col("t").alias(c) if c == text else F.col(f"r.`{c}`").alias(c) for c in names]
 
 
+def row_hash(docs: DataFrame, but: str) -> Column:
+    """A hash of a row's plain columns but one, to deal rows out by; types that have no hash don't count."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name != but and not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType, T.VariantType))]
+    return F.xxhash64(*plain) if plain else F.lit(0).cast("long")
+
+
+def hot_keys(counts: DataFrame, key: str, n: str, total: int, share: float = 1 / 2000, least: int = 100_000) -> DataFrame:
+    """``(key, salts)`` of the keys with more than ``share`` of ``total`` rows and than ``least``: 1 / share of them at most, so it is broadcast."""
+    most = max(least, int(total * share))
+    hot = counts.where(F.col(n) > most).select(key, F.ceil(F.col(n) / most).cast("int").alias("salts"))
+    return F.broadcast(written(hot, "hot-keys"))
+
+
+def dealt(df: DataFrame, hot: DataFrame, key: str, by: Column, salt: str = "salt") -> DataFrame:
+    """``df`` with a ``salt``: for hot keys by the hash ``by``, else 0."""
+    return df.join(hot, key, "left").withColumn(salt, F.coalesce(F.pmod(by, F.col("salts")), F.lit(0)).cast("int")).drop("salts")
+
+
+def repeated(df: DataFrame, hot: DataFrame, key: str, salt: str = "salt") -> DataFrame:
+    """``df`` once for every ``salt`` of its key."""
+    return df.join(hot, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+
+
 def free_name(taken: list[str], wish: str) -> str:
     """``wish``, or a name made from it that no column has (names are compared without case)."""
     low = {c.lower() for c in taken}

@@ -6,12 +6,12 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.llm.common import packed, text_key
-from textloom.storage import written
+from textloom.llm.common import dealt, hot_keys, packed, repeated, row_hash, text_key
+from textloom.storage import work_path, written
 
 _HEAD = struct.Struct("<QII")
 _U = np.uint64
@@ -107,24 +107,36 @@ def _low64(digests: pa.ChunkedArray) -> np.ndarray:
     return np.array([int.from_bytes(d[:8], "little") for d in digests.to_pylist()], np.uint64)
 
 
-def snapshot_filters(digests: DataFrame, per_filter: int = 500_000) -> tuple[DataFrame, int]:
-    """``(bucket, filter)`` for a snapshot's digests ``k``, written once and never changed; and the number of buckets."""
+def build_filters(digests: DataFrame, path: str, per_filter: int = 500_000) -> None:
+    """Writes the filters of an immutable snapshot's distinct digests ``k`` at ``path``, once: (bucket, buckets, filter).
+
+    A path that is taken is an error, since filters never change; new rows make a new snapshot.
+    """
     buckets = max(1, -(-digests.count() // per_filter))
 
     def make(t: pa.Table) -> pa.Table:
         f = BinaryFuse.build(_low64(t["k"]))
-        return pa.table({"bucket": pa.array([t["bucket"][0].as_py()], pa.int32()), "filter": pa.array([f.dump()], pa.binary())})
+        return pa.table({"bucket": pa.array([t["bucket"][0].as_py()], pa.int32()), "buckets": pa.array([buckets], pa.int32()), "filter": pa.array([f.dump()], pa.binary())})
 
     rows = digests.select("k", _bucket(buckets).alias("bucket"))
-    return written(rows.groupBy("bucket").applyInArrow(make, "bucket int, filter binary"), "fuse-filters"), buckets
+    rows.groupBy("bucket").applyInArrow(make, "bucket int, buckets int, filter binary").write.mode("error").parquet(path)
+
+
+def load_filters(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("k"), F.lit(buckets)).cast("int")
 
 
-def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
-    """The incoming digests ``k`` that a snapshot's filters don't rule out."""
+def screen(incoming: DataFrame, snapshots: list[DataFrame], per_task: int = 500_000) -> DataFrame:
+    """The distinct incoming digests ``k`` that some snapshot's filters don't rule out.
+
+    A snapshot's filters go where their bucket's digests are. However many more digests come in than a
+    snapshot has, no task gets more than about ``per_task``: a bucket is dealt out in turns, its filter to each.
+    """
+    n, out = incoming.count(), None
 
     def probe(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
@@ -132,20 +144,47 @@ def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
         yes = BinaryFuse.load(right["filter"][0].as_py()).may_hold(_low64(left["k"]))
         return pa.table({"k": left["k"].combine_chunks().cast(pa.binary()).filter(pa.array(yes))})
 
-    rows = incoming.select("k", _bucket(buckets).alias("bucket"))
-    return rows.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(probe, "k binary")
+    for filters in snapshots:
+        first = filters.select("buckets").first()
+        if first is None:
+            continue
+        buckets = first["buckets"]
+        turns = max(1, -(-n // (buckets * per_task)))
+        rows = incoming.select("k", _bucket(buckets).alias("bucket"), F.pmod(F.hash("k"), F.lit(turns)).alias("turn"))
+        each = filters.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+        part = rows.groupBy("bucket", "turn").cogroup(each.groupBy("bucket", "turn")).applyInArrow(probe, "k binary")
+        out = part if out is None else out.union(part)
+    return incoming.select("k").limit(0) if out is None else out if len(snapshots) == 1 else out.distinct()
 
 
-def _suspects(keyed: DataFrame) -> DataFrame:
-    """Digests ``k`` that more than one document may share, found without moving any text."""
-    light = keyed.where("t is not null").groupBy("k").agg(F.count_if(~F.col("incoming")).alias("old"), F.count_if(F.col("incoming")).alias("new"))
-    tally = written(light, "digests")
-    snapshot, batch = tally.where("old > 0").select("k"), tally.where("new > 0").select("k")
-    filters, buckets = snapshot_filters(snapshot)
-    positives = screen(batch, filters, buckets)
-    known = positives.join(snapshot, "k", "left_semi")  # exact buckets
-    within = tally.where("old > 1 or new > 1").select("k")
-    return written(known.union(within).distinct(), "suspect-digests")
+def _suspects(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Digests ``k`` that more than one document may share, found without moving any text; and those of them that are hot.
+
+    The snapshot's filters are built from its digests; the batch's digests, once each, are screened by
+    them, and only what passes is joined with the snapshot's digests.
+    """
+    spark = keyed.sparkSession
+    light = keyed.where("t is not null")
+    tally = lambda side: written(light.where(side).groupBy("k").agg(F.count("*").alias("n")), "digests")
+    snapshot, batch = tally("not incoming"), tally("incoming")
+    path = work_path(spark, "fuse-filters")
+    build_filters(snapshot.select("k"), path)
+    positives = screen(batch.select("k"), [load_filters(spark, path)])
+    known = positives.join(snapshot.select("k"), "k", "left_semi")  # exact buckets
+    within = snapshot.where("n > 1").select("k").union(batch.where("n > 1").select("k"))
+    total = snapshot.union(batch).agg(F.sum("n")).first()[0] or 0
+    counts = snapshot.union(batch).where("n > 1").groupBy("k").agg(F.sum("n").alias("n"))
+    return written(known.union(within).distinct(), "suspect-digests"), hot_keys(counts, "k", "n", total)
+
+
+def _shared(keyed: DataFrame, suspects: DataFrame, hot: DataFrame) -> DataFrame:
+    """The rows of suspect digests: all columns, where they are met by a join that no hot digest overloads."""
+    return dealt(keyed.where("t is not null"), hot, "k", F.col("h")).join(repeated(suspects, hot, "k").hint("shuffle_hash"), ["k", "salt"], "left_semi")
+
+
+def _order(*more: Column) -> Column:
+    """Snapshot before batch, then the least id, null last."""
+    return F.struct(F.col("incoming"), F.col("id").isNull().alias("void"), F.col("id"), *more)
 
 
 def mark_duplicates(docs: DataFrame, incoming: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -154,34 +193,53 @@ def mark_duplicates(docs: DataFrame, incoming: Column, id_col: str = "doc_id", t
     Rows where ``incoming`` is not true are the snapshot, the rest the new batch. The snapshot's
     digests get static filters; the batch's digests, once each, are screened by them; what passes is
     joined with the snapshot's exact digests; duplicates within the batch are grouped by themselves.
-    Only texts of suspect digests are compared, byte by byte. The first of equal texts stays:
-    snapshot before batch, then the least id (null ids last). Null texts are never duplicates; empty
-    texts equal each other; of rows that are wholly equal all but one are duplicates. Other columns
-    don't matter. An empty table gives no rows.
+    Only texts of suspect digests are compared, byte by byte, as keys of an aggregation that combines
+    copies where they are read, so a hot text leaves each task once. Rows then meet the first row of
+    their digest, hot digests dealt out over tasks; digests that different texts share, if any, are
+    decided by text.
+
+    The first of equal texts stays: snapshot before batch, then the least id (null ids last). Null texts
+    are never duplicates; empty texts equal each other; of rows that are wholly equal all but one are
+    duplicates. Very long texts are compared whole. Other columns don't matter, whatever their names
+    and types. An empty table gives no rows.
     """
-    keyed = _keyed(docs, incoming, id_col, text)[0].select("k", "t", "incoming", "id")
-    suspects = _suspects(keyed)
-    w = W.partitionBy("k", "t").orderBy("incoming", F.col("id").asc_nulls_last())
-    checked = (
-        keyed.where("t is not null")
-        .join(suspects.hint("shuffle_hash"), "k", "left_semi")
-        .select("id", F.first("id").over(w).alias("kept_id"), (F.row_number().over(w) > 1).alias("is_duplicate"))
-    )
-    rest = keyed.select("k", "id", F.col("t").isNull().alias("void"))
-    alone = rest.where("not void").join(suspects.hint("shuffle_hash"), "k", "left_anti").unionByName(rest.where("void"))
-    out = checked.unionByName(alone.select("id", F.col("id").alias("kept_id"), F.lit(False).alias("is_duplicate")))
+    keyed = _keyed(docs, incoming, id_col, text)[0].drop("r")
+    suspects, hot = _suspects(keyed)
+    same = _shared(keyed, suspects, hot).groupBy("k", "t").agg(F.min(_order()).alias("first"))
+    firsts = written(same.groupBy("k").agg(F.count("*").alias("texts"), F.min("first").alias("first")), "exact-groups")
+    rows = keyed.select("k", "incoming", "id", "h", F.col("t").isNull().alias("void"))
+    met = dealt(rows.where("not void"), hot, "k", F.col("h")).join(repeated(firsts, hot, "k"), ["k", "salt"], "left")
+    plain = met.where("texts is null or texts = 1").select("k", "id", "first", (F.col("first").isNull() | (_order() == F.col("first"))).alias("best"))
+    # of rows equal in all that decides, one stays: their number is enough to make them again
+    ties = written(plain.where("best and first is not null").groupBy("k").agg(F.count("*").alias("n"), F.any_value("first").alias("first")).where("n > 1"), "exact-ties")
+    step = 1_000_000
+    again = ties.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(step).cast("long")))).repartition("k", "lo")
+    again = again.select("first.id", F.explode(F.sequence(F.col("lo"), F.least(F.col("lo") + step, "n") - 1)).alias("i"))
+    single = plain.where("not best or first is null").select("id", F.coalesce(F.col("first.id"), F.when(F.col("first").isNull(), F.col("id"))).alias("kept_id"), (~F.col("best")).alias("is_duplicate"))
+    one = plain.where("best and first is not null").join(ties.select("k"), "k", "left_anti").select("id", F.col("id").alias("kept_id"), F.lit(False).alias("is_duplicate"))
+    out = single.unionByName(one).unionByName(again.select("id", F.col("id").alias("kept_id"), (F.col("i") > 0).alias("is_duplicate")))
+    out = out.unionByName(rows.where("void").select("id", F.col("id").alias("kept_id"), F.lit(False).alias("is_duplicate")))
+    clash = firsts.where("texts > 1").select("k")
+    if not clash.isEmpty():  # different texts of one digest
+        w = W.partitionBy("k", "t").orderBy("incoming", F.col("id").asc_nulls_last())
+        apart = keyed.join(clash, "k", "left_semi").select("id", F.first("id").over(w).alias("kept_id"), (F.row_number().over(w) > 1).alias("is_duplicate"))
+        out = out.unionByName(apart)
     return out.withColumnRenamed("id", "doc_id")
 
 
 def drop_duplicates(docs: DataFrame, incoming: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that ``mark_duplicates`` doesn't call duplicates, all columns; texts are shuffled once."""
+    """The rows that ``mark_duplicates`` doesn't call duplicates, all columns.
+
+    Of each text, the first row is found by an aggregation that combines copies where they are; of rows
+    that are equal in what decides, the one with the least hash of its other columns stays.
+    """
     keyed, unpack = _keyed(docs, incoming, id_col, text)
-    suspects = _suspects(keyed)
-    w = W.partitionBy("k", "t").orderBy("incoming", F.col("id").asc_nulls_last())
-    there = keyed.where("t is not null")
-    checked = there.join(suspects.hint("shuffle_hash"), "k", "left_semi").withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
-    alone = there.join(suspects.hint("shuffle_hash"), "k", "left_anti")
-    return checked.unionByName(alone).unionByName(keyed.where("t is null")).select(*unpack)
+    suspects, hot = _suspects(keyed)
+    first = F.min_by("r", _order(F.col("h"))).alias("r")
+    checked = _shared(keyed, suspects, hot).groupBy("k", "t").agg(first)
+    alone = dealt(keyed.where("t is not null"), hot, "k", F.col("h")).join(repeated(suspects, hot, "k").hint("shuffle_hash"), ["k", "salt"], "left_anti")
+    parts = [checked, alone, keyed.where("t is null")]
+    return parts[0].select(*unpack).unionByName(parts[1].select(*unpack)).unionByName(parts[2].select(*unpack))
 
 
 def _keyed(docs: DataFrame, incoming: Column, id_col: str, text: str) -> tuple[DataFrame, list[Column]]:
@@ -190,6 +248,7 @@ def _keyed(docs: DataFrame, incoming: Column, id_col: str, text: str) -> tuple[D
         F.col(f"`{text}`").cast("string").alias("t"),
         F.coalesce(incoming, F.lit(False)).alias("incoming"),
         F.col(f"`{id_col}`").alias("id"),
+        row_hash(docs, text).alias("h"),
         F.struct(*rest).alias("r"),
     )
     return df.select(text_key("t").alias("k"), "*"), packed(docs, text)[1]
