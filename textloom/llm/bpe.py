@@ -179,7 +179,7 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
 
     size = rows.agg(F.count("*").alias("rows"), F.sum(F.when(F.col("at") == 0, F.col("m"))).alias("texts")).first()
     many = hot_keys(rows.where("at = 0"), "k", "m", size["texts"] or 0, hot_share, hot_least)
-    salted = dealt(keyed, many, "k", F.col("h"))
+    salted = dealt(keyed, many, "k", F.col("h")).drop("h")
 
     # of a hot text that isn't dealt to salt 0 no chunk is encoded here: step 3 does without
     owners = shared.groupBy("k").agg(F.collect_list(F.struct("at", "n", "ck")).alias("own")).withColumn("salt", F.least(F.size("own"), F.lit(0)))  # 0, in a way that keeps it a key of the join
