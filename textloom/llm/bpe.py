@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import _L, _N, _UNKNOWN, _WHITE, VOCAB, Encoder, dealt, encoder, hot_keys, packed, repeated, row_hash, slices
+from textloom.llm.common import _L, _N, _UNKNOWN, _WHITE, VOCAB, Encoder, dealt, encoder, hot_keys, packed, ranks, repeated, row_hash, slices
 from textloom.storage import written
 
 #: Chunks are cut where a rolling hash of 32 bytes has MASK_BITS low zeros, within these sizes.
@@ -186,6 +186,8 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
     owning = salted.join(owners.hint("shuffle_hash"), ["k", "salt"])  # all columns, else the exchange isn't the one of step 3
     key_at, text_at, own_at = map(owning.columns.index, ("k", "t", "own"))
 
+    kind = "<u2" if max(ranks(vocab).values()) < 1 << 16 else "<u4"  # how shared ids travel
+
     def once(batches):
         e, seen = encoder(vocab), set()
         for b in batches:
@@ -196,7 +198,7 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
                         seen.add(k)
                         for o in own:
                             cks.append(o["ck"])
-                            ids.append(e.raw(t[o["at"] : o["at"] + o["n"]].decode()))
+                            ids.append(np.frombuffer(e.raw(t[o["at"] : o["at"] + o["n"]].decode()), "<u4").astype(kind).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(cks, pa.binary()), pa.array(ids, pa.binary())], names=["ck", "ids"])
 
     encoded = owning.mapInArrow(once, "ck binary, ids binary")
@@ -212,7 +214,7 @@ def bpe_encode(docs: DataFrame, text: str = "text", out: str = "token_ids", voca
         for lo in range(0, max(1, len(texts)), 256):
             got = []
             for t, ks in zip(texts.slice(lo, 256).cast(pa.large_binary()).to_pylist(), known.slice(lo, 256).to_pylist()):
-                got.append(None if t is None else encode_with(e, t, [(x["at"], x["n"], x["ids"]) for x in ks or ()]))
+                got.append(None if t is None else encode_with(e, t, [(x["at"], x["n"], np.frombuffer(x["ids"], kind).astype("<u4").tobytes()) for x in ks or ()]))
             ends = np.cumsum([0, *(len(g) // 4 if g else 0 for g in got)])
             flat = pa.array(np.frombuffer(b"".join(filter(None, got)), "<i4"))
             made.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array([g is None for g in got], pa.bool_())))
