@@ -28,7 +28,7 @@ def brute_search(queries_, docs, k):
             hit = [(w, m) for w, m in Counter(search.words(t or "")).items() if w in c]
             if hit:
                 s = sum(m * math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * length / mean)) for w, m in hit)
-                got.append((-round(s, 4), d is None, d or 0, d))
+                got.append((-round(s, 4), d is None, 0 if d is None else d, d))
         out += [(q, i + 1, x[3], -x[0]) for i, x in enumerate(sorted(got)[:k])]
     return sorted(out, key=str)
 
@@ -44,6 +44,16 @@ def test_top_k_against_brute_force(spark, shard):
     assert sorted((tuple(x) for x in got.collect()), key=str) == brute_search(qs, docs, 5)
 
 
+@pytest.mark.parametrize("name", ["doc_id", "q", "rank", "score", "qid"])
+def test_top_k_takes_any_name_and_id_type(spark, name):
+    docs = [("a", "one two"), ("b", "two"), (None, "two"), ("b", "two three")]
+    qs = spark.createDataFrame([("x", "two"), ("y", "three one"), (None, "one")], f"{name} string, text string")
+    got = search.top_k(qs, spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id string, text string, q int, score int"), k=3, query_id=name, query_batch=2)
+    assert got.columns == ["_" + name if name in ("doc_id", "rank", "score") else name, "rank", "doc_id", "score"]
+    rows = [(r[0], r[1], r[2]) for r in got.collect()]
+    assert sorted(rows, key=str) == sorted([(q, i, d) for q, i, d, _ in brute_search([("x", "two"), ("y", "three one"), (None, "one")], docs, 3)], key=str)
+
+
 def test_max_score_blocks():
     """Small blocks, so that terms become non-essential on the way."""
     r = random.Random(9)
@@ -65,6 +75,8 @@ def test_search_of_nothing(spark):
 
 def test_candidates():
     assert U.candidates("HTTPS://u:p@Sub.Example.COM.:8080/a/b/?q=1#f") == ["sub.example.com/a/b?q=1", "sub.example.com/a/b", "sub.example.com/a", "sub.example.com", "example.com"]
+    for u in ("casino-win.example.com:8080/x", "http:/\\casino-win.example.com/x", "//casino-win.example.com/x", " https:casino-win.example.com\\x", "http://casino-win.example.com:/x/#y"):
+        assert U.candidates(u) == ["casino-win.example.com/x", "casino-win.example.com", "example.com"], u
     assert U.candidates("http://10.0.0.1/x")[-1] == "10.0.0.1" and U.candidates("") == [] and U.candidates("///") == []
 
 

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from textloom.llm.common import few, free_name, slices
 
 K1, B = 1.2, 0.75
 PLACES = 4  # scores are ranked as rounded to this many places, so that equal ones are ties everywhere
@@ -92,96 +96,103 @@ class Shard:
             for c, s in zip((cand[ok] + base).tolist(), score[ok].tolist()):
                 best.append((-round(s, PLACES), c))
             if len(best) > k:
-                best.sort(key=lambda x: (x[0], self.ids[x[1]] is None, self.ids[x[1]] or 0))
+                best.sort(key=lambda x: (x[0], self.ids[x[1]] is None, 0 if self.ids[x[1]] is None else self.ids[x[1]]))
                 del best[k:]
             if len(best) == k:
                 floor = -max(x[0] for x in best)
-        best.sort(key=lambda x: (x[0], self.ids[x[1]] is None, self.ids[x[1]] or 0))
+        best.sort(key=lambda x: (x[0], self.ids[x[1]] is None, 0 if self.ids[x[1]] is None else self.ids[x[1]]))
         return [(c, -s) for s, c in best[:k]]
 
 
-def top_k(queries: DataFrame, docs: DataFrame, k: int = 10, query_id: str = "item_id", query_text: str = "text", id_col: str = "doc_id", text: str = "text", query_batch: int = 5_000, shard_docs: int = 20_000) -> DataFrame:
+def top_k(queries: DataFrame, docs: DataFrame, k: int = 10, query_id: str = "item_id", query_text: str = "text", id_col: str = "doc_id", text: str = "text", query_batch: int = 5_000, shard_docs: int = 20_000, batch_terms: int = 500_000) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: the k best documents of every query, exactly.
 
     Documents stay where they are read: each partition is indexed in shards of ``shard_docs``, for
-    the terms of the queries only, with the corpus's document frequencies and mean length from a
-    first pass over all documents. Each shard gives its k best, which are merged. Queries go out in
-    batches of ``query_batch`` rows, so what is sent to executors is bounded; every row is a query.
-
-    Scores are BM25 over lower-case words, ranked as rounded to 4 places, ties by id (null last).
-    Repeated documents are hits of their own, repeated query rows queries of their own. Null or
-    empty texts of either side match nothing; a query that matches fewer than k documents has fewer rows.
+    the terms of the queries only, with the corpus's document frequencies and mean length from one
+    first pass over all documents, for the terms of all queries. Each shard gives its k best, which are
+    merged. Queries go out in batches of ``query_batch`` rows and about ``batch_terms`` terms, so what is
+    sent to executors is bounded; every row is a query.
+
+    Scores are BM25 over lower-case words, ranked as rounded to 4 places, ties by id (null last). Ids of
+    either side may be of any type that has an order. Repeated documents are hits of their own, repeated
+    query rows queries of their own. Null or empty texts of either side match nothing; very long ones
+    count whole; a query that matches fewer than k documents has fewer rows, and without documents or
+    queries there are none. Other columns aren't read, whatever their names; a query id that is named
+    like another column of the result gets an underscore in front.
     """
     spark = docs.sparkSession
-    d = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("t")).where("t is not null")
-    q_type = queries.schema[query_id].dataType.simpleString()
-    schema = f"q int, {query_id} {q_type}, doc_id long, score double"
-    result, batch = None, []
+    d = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t")).where("t is not null")
+    q = queries.select(F.col(f"`{query_id}`").alias("qid"), F.col(f"`{query_text}`").cast("string").alias("t"))
+    d_type, q_type = d.schema["id"].dataType, q.schema["qid"].dataType
+    name = free_name(["rank", "doc_id", "score"], query_id)
+    hit = T.StructType([T.StructField("q", T.IntegerType()), T.StructField("doc_id", d_type), T.StructField("score", T.DoubleType())])
+    named = T.StructType([T.StructField("q", T.IntegerType()), T.StructField("qid", q_type)])
+
+    batches_: list[list[tuple]] = [[]]
+    held, every = 0, set()
+    for qid, t in q.toLocalIterator():
+        own = sorted(Counter(words(t or "")).items())
+        if batches_[-1] and (len(batches_[-1]) >= query_batch or held + len(own) > batch_terms):
+            batches_.append([])
+            held = 0
+        batches_[-1].append((qid, own))
+        held += len(own)
+        every.update(w for w, _ in own)
+
+    asked_for = spark.sparkContext.broadcast(frozenset(every))
+
+    def tally(batches):
+        df, n, length = Counter(), 0, 0
+        for b in batches:
+            for t in few(b.column(0)):
+                ws = words(t)
+                n, length = n + 1, length + len(ws)
+                df.update(asked_for.value.intersection(ws))
+        rows = [*df.items(), (None, n), ("", length)]  # no word is empty
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.int64())], names=["term", "n"])
+
+    sums = {r["term"]: r["n"] for r in d.select("t").mapInArrow(tally, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    n, length = sums.get(None, 0) or 0, sums.get("", 0) or 0
 
     def run(rows: list) -> DataFrame:
         terms: dict[str, int] = {}
-        asked = []
-        for qid, t in rows:
-            asked.append((qid, [(terms.setdefault(w, len(terms)), n) for w, n in sorted(Counter(words(t or "")).items())]))
-        own = spark.sparkContext.broadcast((terms, asked))
-
-        def tally(batches):
-            terms, _ = own.value
-            df, n, length = np.zeros(len(terms), np.int64), 0, 0
-            for b in batches:
-                for t in b.column(0).to_pylist():
-                    ws = words(t)
-                    n, length = n + 1, length + len(ws)
-                    got = [i for i in map(terms.get, set(ws)) if i is not None]
-                    df[got] += 1
-            at = np.flatnonzero(df)
-            yield pa.RecordBatch.from_arrays([pa.array([*at.tolist(), -1, -2], pa.int32()), pa.array([*df[at].tolist(), n, length], pa.int64())], names=["term", "n"])
-
-        sums = {r["term"]: r["n"] for r in d.select("t").mapInArrow(tally, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-        n, length = sums.get(-1, 0), sums.get(-2, 0)
-        df = np.array([sums.get(i, 0) for i in range(len(terms))], float)
+        asked = [[(terms.setdefault(w, len(terms)), c) for w, c in own] for _, own in rows]
+        df = np.array([sums.get(w, 0) for w in terms], float)
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5)) if len(terms) else np.zeros(0)
+        sent = spark.sparkContext.broadcast((terms, asked, idf))
 
         def search(batches):
-            terms, asked = own.value
-            shard = None
+            (terms, asked, idf), shard, kind = sent.value, None, None
 
             def flush():
                 shard.finish()
                 at, ids, scores = [], [], []
-                for i, (_, ts) in enumerate(asked):
+                for i, ts in enumerate(asked):
                     for c, s in shard.top(ts, k):
                         at.append(i)
                         ids.append(shard.ids[c])
                         scores.append(s)
-                return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], names=["q", "doc_id", "score"])
+                return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(ids, kind), pa.array(scores, pa.float64())], names=["q", "doc_id", "score"])
 
             for b in batches:
-                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    shard = shard or Shard(idf, length / max(1, n))
-                    ws = words(t)
-                    shard.add(i, Counter(i for i in map(terms.get, ws) if i is not None), len(ws))
-                    if len(shard.ids) >= shard_docs:
-                        yield flush()
-                        shard = None
+                kind = b.column(0).type
+                for part in slices(b):
+                    for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                        shard = shard or Shard(idf, length / max(1, n))
+                        ws = words(t)
+                        shard.add(i, Counter(i for i in map(terms.get, ws) if i is not None), len(ws))
+                        if len(shard.ids) >= shard_docs:
+                            yield flush()
+                            shard = None
             if shard:
                 yield flush()
 
-        hits = d.mapInArrow(search, "q int, doc_id long, score double")
-        names = spark.createDataFrame([(i, qid) for i, (qid, _) in enumerate(asked)], f"q int, {query_id} {q_type}")
-        return hits.join(names, "q").select("q", query_id, "doc_id", "score")
+        best = _best(d.mapInArrow(search, hit), k)
+        return best.join(spark.createDataFrame([(i, qid) for i, (qid, _) in enumerate(rows)], named), "q").select(F.col("qid").alias(name), "rank", "doc_id", "score")
 
-    for r in queries.select(F.col(f"`{query_id}`"), F.col(f"`{query_text}`").cast("string")).toLocalIterator():
-        batch.append((r[0], r[1]))
-        if len(batch) == query_batch:
-            part, batch = _best(run(batch), k, query_id), []
-            result = part if result is None else result.unionByName(part)
-    if batch or result is None:
-        part = _best(run(batch), k, query_id) if batch else _best(spark.createDataFrame([], schema), k, query_id)
-        result = part if result is None else result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, map(run, batches_))
 
 
-def _best(hits: DataFrame, k: int, query_id: str) -> DataFrame:
+def _best(hits: DataFrame, k: int) -> DataFrame:
     w = W.partitionBy("q").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
-    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(query_id, "rank", "doc_id", "score")
+    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -19,7 +19,9 @@ from textloom.storage import mounted, work_path
 SEED = 42  # that of Spark's xxhash64, so digests can be made on either side
 #: Hosts that are blocked unless a list is given: gambling, spam, pills, adult content, trackers.
 BLOCKED_HOSTS = ["casino-win.example.com", "free-bets.example.com", "spam-farm.example.com", "cheap-pills.example.com", "adult-x.example.net", "ads-track.example.com"]
-_URL = re.compile(r"\s*(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(?://)?(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^:/?#]*)(?::\d*)?([^?#]*)(\?[^#]*)?", re.S)
+_SCHEME = re.compile(r"[a-z][a-z0-9+.\-]*:", re.I)
+_URL = re.compile(r"(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^:/?#]*)(?::\d*)?([^?#]*)(\?[^#]*)?", re.S)
+_PORT = re.compile(r"\d+(?:[/?#]|\Z)")
 
 
 def digest(s: str) -> int:
@@ -29,8 +31,14 @@ def digest(s: str) -> int:
 def candidates(url: str) -> list[str]:
     """The entries that would block ``url``, the most special first: host/path?query, host and each path
     above it, the host, each domain above it (of two labels or more). Hosts are lower case, without user,
-    port, final dot; the scheme and the fragment don't count."""
-    _, host, path, query = _URL.match(url).groups()
+    port, final dot; the scheme, if any, and the fragment don't count, backslashes are slashes."""
+    rest = url.strip()
+    scheme = _SCHEME.match(rest)
+    if scheme and not ("." in scheme[0] and _PORT.match(rest, scheme.end())):  # host:port has no scheme
+        rest = rest[scheme.end() :]
+    cut = min((i for i in map(rest.find, "?#") if i >= 0), default=len(rest))
+    rest = rest[:cut].replace("\\", "/").lstrip("/") + rest[cut:]  # browsers take these for slashes, and any number of them
+    host, path, query = _URL.match(rest).groups()
     host = host.lower().rstrip(".")
     if not host:
         return []
