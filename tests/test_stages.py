@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom import config, registry, schema
 from textloom.functions.udfs import from_samples
-from textloom.operators import bpe_counts, clean, deep_clean, lid, merge, near_dup, reports, sampling
+from textloom.operators import bpe_counts, clean, deep_clean, lid, merge, near_dup, reports, sampling, skew
 from textloom.plans import pipeline
 from textloom.sources import readers, writers
 from textloom.streaming import ingest
@@ -165,3 +165,23 @@ def test_streaming(spark, tmp_path):
     spark.createDataFrame([("HELLO there", "c"), ("new words", "c")], schema.RAW).coalesce(1).write.mode("append").json(src)
     ingest.ingest(ingest.cleaned_stream(spark, src), table, cp).awaitTermination()
     assert sorted(r.text for r in spark.read.parquet(table).collect()) == ["Hello there", "new words"]
+
+
+def test_concat_goes_by_file_and_place(spark, tmp_path):
+    """Files that a scan would pack by size come in the order of their names, and first wins by it."""
+    for name, n in (("a", 1), ("b", 3), ("c", 200)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i}\n" for i in range(n)) + "same\n")
+    lines = readers.read_lines(spark, str(tmp_path))
+    got = merge.concat_in_order([("x", lines), ("y", spark.createDataFrame([("a0",), ("z",)], "text string"))])
+    want = ["a0", "same", *(f"b{i}" for i in range(3)), "same", *(f"c{i}" for i in range(200)), "same", "a0", "z"]
+    assert [r.text for r in got.orderBy("rank", "ordinal").collect()] == want
+    first = merge.kept(merge.mark_first_wins(got)).where("text = 'same'").collect()
+    assert [r.ordinal.file.rpartition("/")[2] for r in first] == ["a.txt"]
+
+
+def test_first_of_hot_keys(spark):
+    rows = [(0, i, "hot", f"s{i}") for i in range(200)] + [(1, 7, "cold", "x"), (0, 900, "cold", "y"), (0, 901, None, "n"), (0, 902, None, "m"), (0, 903, "one", "o")]
+    df = spark.createDataFrame(rows, "rank int, ordinal long, key string, source string")
+    got = skew.with_first(df, "key", "source", least=20).select("*", skew.is_first().alias("is_first")).collect()
+    assert len(got) == len(rows) and sorted(r.source for r in got if r.is_first) == ["m", "n", "o", "s0", "y"]
+    assert all(r._first.source == ("s0" if r.key == "hot" else "y") for r in got if r._first)

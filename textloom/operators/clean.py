@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom import registry
 from textloom.config import Clean
 from textloom.functions import text as T
 from textloom.functions.udfs import repair
+from textloom.operators.skew import is_first, with_first
 from textloom.schema import add_flags, flag_for_review, reject
 
 
@@ -60,13 +60,12 @@ def clean(raw: DataFrame, sources: list[registry.Source], cfg: Clean = Clean())
 
 
 def mark_exact_duplicates(df: DataFrame) -> DataFrame:
-    passed = F.col("reason").isNull()
-    w = W.partitionBy("content_hash", passed).orderBy("rank", "ordinal")
-    again = passed & (F.row_number().over(w) > 1)
-    first = F.first("id").over(w)
-    df = df.withColumn("_again", again).withColumn("duplicate_of", F.when(again, first))
-    df = df.withColumn("reason", F.when(F.col("_again"), "exact_duplicate_after_clean").otherwise(F.col("reason")))
-    return df.withColumn("disposition", reject(F.col("disposition"), F.col("reason"))).drop("_again")
+    """Of rows with equal content_hash and no reason, those after the first get one; rejected rows meet no one."""
+    names = df.columns
+    d = with_first(df.withColumn("_key", F.when(F.col("reason").isNull(), F.col("content_hash"))), "_key", "id")
+    d = d.withColumn("_again", ~is_first()).withColumn("duplicate_of", F.when(F.col("_again"), F.col("_first.id")))
+    d = d.withColumn("reason", F.when(F.col("_again"), "exact_duplicate_after_clean").otherwise(F.col("reason")))
+    return d.withColumn("disposition", reject(F.col("disposition"), F.col("reason"))).select(*names, "duplicate_of")
 
 
 def unknown_sources(raw: DataFrame, sources: list[registry.Source]) -> DataFrame:

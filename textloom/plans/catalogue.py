@@ -302,7 +302,7 @@ def length_buckets(spark, sf_dir):
     return _documents(spark, sf_dir).groupBy(T.length_bucket(T.word_count(F.col("text"))).alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query("select page_id, md5(replace(replace(replace(replace(html, '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', chr(34)), '&amp;', '&')) as text_md5 from pages")
 def decode_entities(spark, sf_dir):
     p = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return p.select("page_id", _md5(udfs.decode_entities(F.col("html"))))
@@ -512,7 +512,18 @@ def bpe_encode_ratio(spark, sf_dir):
     return sampling.ratio_summary(written(d, "ratios"), "ratio")
 
 
-@query()
+_S_SCORE = " + ".join(f"case when {s} then {w} else 0 end" for s, w, _ in _S_NOISE)
+
+
+@query(
+    f"""with ws as (select doc_id, text, {s_words("text")} as w from documents), steps as (select unnest([{", ".join(map(str, sampling.THRESHOLDS))}]) as threshold),
+    share as (select threshold, round(100 * count(*) filter (w < threshold) / count(*), 6) as reject_pct from ws, steps group by threshold),
+    drawn as (select threshold, {_S_SCORE} as noise from ws join steps on w < threshold qualify row_number() over (partition by threshold order by md5('0:' || doc_id), doc_id) <= 100),
+    noisy as (select threshold, round(100 * count(*) filter (noise >= 2) / count(*), 6) as noise_pct from drawn group by threshold),
+    scored as (select threshold, reject_pct, coalesce(noise_pct, 0) as noise_pct, round(case when reject_pct between 5 and 15 then 3.0 else -abs(reject_pct - 9) end
+        + coalesce(noise_pct, 0) / 25 + case when reject_pct > 20 then -5.0 else 0.0 end, 6) as score from share left join noisy using (threshold))
+    select *, row_number() over (order by score desc, threshold) = 1 as best from scored"""
+)
 def threshold_recommendation(spark, sf_dir):
     return sampling.recommend(_documents(spark, sf_dir))
 
@@ -533,9 +544,10 @@ def segment_lid(spark, sf_dir):
 
 @query()
 def lid_benchmark(spark, sf_dir):
+    """Detectors fitted on the documents with even ids, judged on those with odd ones."""
     d, out = _documents(spark, sf_dir), None
     for name in udfs.BACKENDS:
-        said = d.withColumn("said", udfs.detect(F.col("text"), lid.train(d, name), 2000)["code"])
+        said = d.where("doc_id % 2 = 1").withColumn("said", udfs.detect(F.col("text"), lid.train(d.where("doc_id % 2 = 0"), name), 2000)["code"])
         part = lid.evaluate(said, "said", "lang", "en").withColumn("backend", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
