@@ -11,7 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import _L, _N, _UNKNOWN, _WHITE, VOCAB, Encoder, dealt, encoder, hot_keys, packed, ranks, repeated, row_hash, slices
+from textloom.llm.common import _L, _N, _UNKNOWN, _WHITE, VOCAB, Encoder, encoder, packed, ranks, row_hash, slices
+from textloom.operators.skew import dealt, hot_keys, repeated
 from textloom.storage import written
 
 #: Chunks are cut where a rolling hash of 32 bytes has MASK_BITS low zeros, within these sizes.

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.storage import written
-
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: Pre-tokens of byte-level BPE as tiktoken wants them.
@@ -204,23 +202,6 @@ def row_hash(docs: DataFrame, but: str) -> Column:
     return F.xxhash64(*plain) if plain else F.lit(0).cast("long")
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, total: int, share: float = 1 / 2000, least: int = 100_000) -> DataFrame:
-    """``(key, salts)`` of the keys with more than ``share`` of ``total`` rows and than ``least``: 1 / share of them at most, so it is broadcast."""
-    most = max(least, int(total * share))
-    hot = counts.where(F.col(n) > most).select(key, F.ceil(F.col(n) / most).cast("int").alias("salts"))
-    return F.broadcast(written(hot, "hot-keys"))
-
-
-def dealt(df: DataFrame, hot: DataFrame, key: str, by: Column, salt: str = "salt") -> DataFrame:
-    """``df`` with a ``salt``: for hot keys by the hash ``by``, else 0."""
-    return df.join(hot, key, "left").withColumn(salt, F.coalesce(F.pmod(by, F.col("salts")), F.lit(0)).cast("int")).drop("salts")
-
-
-def repeated(df: DataFrame, hot: DataFrame, key: str, salt: str = "salt") -> DataFrame:
-    """``df`` once for every ``salt`` of its key."""
-    return df.join(hot, key, "left").withColumn(salt, F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
-
-
 def free_name(taken: list[str], wish: str) -> str:
     """``wish``, or a name made from it that no column has (names are compared without case)."""
     low = {c.lower() for c in taken}

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.llm.common import dealt, hot_keys, packed, repeated, row_hash, text_key
+from textloom.llm.common import packed, row_hash, text_key
+from textloom.operators.skew import dealt, hot_keys, repeated
 from textloom.storage import work_path, written
 
 _HEAD = struct.Struct("<QII")
