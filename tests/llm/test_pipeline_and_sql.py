@@ -1,12 +1,18 @@
+import gc
 import math
+import subprocess
+import sys
+import tempfile
+from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as C
 from test_dedup import brute_exact, check_near
 from test_search_urls_packing import brute_pack
-from textloom.llm import near_dedup, quality, queries, toxicity
+from textloom.llm import near_dedup, packing, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,3 +77,40 @@ def test_pipeline_odd_documents(spark, docs, tmp_path):
     docs.limit(0).write.parquet(f"{sf}/none/documents.parquet")
     spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{sf}/none/labels.parquet")
     assert C.run(spark, f"{sf}/none").count() == 0
+
+
+def test_workers_keep_no_cache_of_a_finished_operator(spark, docs):
+    near_dedup.near_duplicates(docs).collect()
+    packing.pack(docs).collect()
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(x) for x in gc.get_objects() if type(x) in (near_dedup._Hashes, packing.Looks))])], names=["n"])
+
+    assert spark.range(0, 64, 1, 8).mapInArrow(held, "n long").agg({"n": "max"}).first()[0] == 0
+
+
+def test_workers_give_batches_back():
+    """What stays of 20 MB batches of texts once they are read through is far less than one of them."""
+    code = """
+import gc, io, re, pyarrow as pa
+from textloom.llm.common import few
+anon = lambda: sum(map(int, re.findall("Private_Dirty: +([0-9]+)", open("/proc/self/smaps_rollup").read()))) // 1024
+def read():
+    with open(PATH, "rb") as f:
+        for b in pa.ipc.open_stream(f):
+            assert all(len(x) == 2000 for x in few(b.column(0)))
+PATH = __import__("sys").argv[1]
+list(few(pa.array(["word"])))
+first = anon()
+read()
+gc.collect()
+print(anon() - first)
+"""
+    with tempfile.NamedTemporaryFile() as f:
+        schema = pa.schema([("t", pa.string())])
+        with pa.ipc.new_stream(f.name, schema) as out:
+            for rows in (9_000, 10_000, 8_000, 9_500):
+                out.write_batch(pa.record_batch([pa.array(["x" * 2000] * rows)], schema=schema))
+        said = subprocess.run([sys.executable, "-c", code, f.name], capture_output=True, text=True, check=True, cwd=Path(C.__file__).parent)
+    assert int(said.stdout) < 12

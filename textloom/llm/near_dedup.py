@@ -44,6 +44,11 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def _forget() -> None:
+    """Empties the worker's cache once a task is done, since workers outlive it and serve other operators."""
+    _hashes.clear()  # here, as a nested function that is sent to workers would clear a copy of it
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * _C2
     h = (h ^ (h >> np.uint64(27))) * _C3
@@ -371,6 +376,7 @@ def _groups(keyed: DataFrame, threshold: float) -> DataFrame:
                 band = np.concatenate(marks).view(np.int64) if marks else np.zeros(0, np.int64)
                 bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(band))
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(flags, pa.binary()), bands], names=["k", "n", "flags", "bands"])
+        _forget()
 
     marks = written(keyed.select("k", "t").mapInArrow(mark, "k binary, n int, flags binary, bands array<long>").dropDuplicates(["k"]), "near-marks")
     rows = marks.select(F.explode("bands").alias("band"), "k", "n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections import Counter
+from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.llm.common import VOCAB, Counter9, pieces, text_key, whole_tokens
+from textloom.llm.common import VOCAB, lean, pieces, text_key, tiktoken_encoding, whole_tokens
 from textloom.storage import written
 
 DIMS, BITS, SCALE = 4, 12, 4096  # curve dimensions; bits of each; fixed point of coordinates, so that sums are exact
@@ -28,15 +29,16 @@ def _directions(seed: int = 7) -> np.ndarray:
 class Looks(dict):
     """Pre-token to (its tokens) * 2^17 + (its place in the hashed vector, or BUCKETS for one that is no word)."""
 
-    def __init__(self, tokens: Counter9, most: int = 300_000):
+    def __init__(self, path: str, whole: frozenset[str], most: int = 300_000):
         super().__init__()
-        self.tokens, self.most = tokens, most
+        self.enc, self.whole, self.most = tiktoken_encoding(path), whole, most
 
     def __missing__(self, piece: str) -> int:
         if len(self) >= self.most:
             self.clear()
         word = piece.strip().lower()
-        made = self[piece] = self.tokens[piece] << 17 | (crc32(word.encode()) % BUCKETS if word else BUCKETS)
+        tokens = 1 if piece in self.whole else len(self.enc.encode_ordinary(piece))
+        made = self[piece] = tokens << 17 | (crc32(word.encode()) % BUCKETS if word else BUCKETS)
         return made
 
     def of(self, texts: list[str]) -> np.ndarray:
@@ -65,16 +67,6 @@ class Looks(dict):
         return out
 
 
-_looks: dict[str, Looks] = {}
-
-
-def looks(path: str, whole: frozenset[str]) -> Looks:
-    """One for each Python worker."""
-    if path not in _looks:
-        _looks[path] = Looks(Counter9(path, whole))
-    return _looks[path]
-
-
 def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Hilbert keys of rows of ``bits``-bit cell numbers (Skilling's transposition, all rows at once)."""
     x = [c.astype(np.int64) for c in cells.T]
@@ -130,10 +122,12 @@ def pack(docs: DataFrame, capacity: int = 2048, id_col: str = "doc_id", text: st
     whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(vocab))
 
     @F.arrow_udf(f"struct<{', '.join(f.replace(' ', ': ') for f in fields.split(', '))}>")
-    def look(a: pa.Array) -> pa.Array:
-        own = looks(vocab, whole.value)
-        rows = np.concatenate([np.zeros((0, 1 + DIMS), np.int64), *(own.of(a.slice(i, 256).to_pylist()) for i in range(0, len(a), 256))])
-        return pa.StructArray.from_arrays([pa.array(x) for x in rows.T], ["n", *(f"x{i}" for i in range(DIMS))])
+    def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lean()
+        own = Looks(vocab, whole.value)  # one for each task: workers outlive it and serve other operators
+        for a in batches:
+            rows = np.concatenate([np.zeros((0, 1 + DIMS), np.int64), *(own.of(a.slice(i, 256).to_pylist()) for i in range(0, len(a), 256))])
+            yield pa.StructArray.from_arrays([pa.array(x) for x in rows.T], ["n", *(f"x{i}" for i in range(DIMS))])
 
     light = written(src.select("id", text_key("t").alias("k"), look("t").alias("s")).select("id", "k", "s.*"), "pack-documents")
     xs = [f"x{i}" for i in range(DIMS)]
