@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import ctypes
 import functools
 import re
 import unicodedata
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.functions.batches import lean
+
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: Pre-tokens of byte-level BPE as tiktoken wants them.
@@ -167,21 +168,6 @@ def counter(path: str, whole: frozenset[str]) -> Counter9:
     return _counters[path]
 
 
-@functools.cache
-def lean() -> None:
-    """Has this process give large blocks back to the system when they are freed, where its C library is glibc.
-
-    Left alone, glibc keeps blocks as large as any that it has freed, up to 32 MB: room for several batches
-    of texts in every idle worker.
-    """
-    try:
-        libc = ctypes.CDLL("libc.so.6")
-        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD: from this size on a block is mapped, thus returned, by itself
-        libc.mallopt(-1, 8 << 20)  # M_TRIM_THRESHOLD: free bytes at the heap's end that are kept
-    except (OSError, AttributeError):
-        pass
-
-
 def slices(b: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """A batch in slices, so that what Python makes of it at a time stays small whatever its texts' lengths."""
     lean()

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.batches import in_parts
+
 SPECIALS = ("<pad>", "<unk>", "<s>", "</s>", "<mask>")
 
 
@@ -32,18 +34,30 @@ def _tokenizer(path: str):
     return t
 
 
-def encode(c: Column, path: str) -> Column:
-    """Ids by a tokenizer file, batch by batch."""
+def _encoded(path: str, take, kind: pa.DataType, c: Column, ddl: str, most: int = 1 << 17) -> Column:
+    """``take`` of the ids of each text. An encoding takes some hundred times its text's bytes, so only ``most`` bytes of texts are encoded at a time."""
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf(ddl)
     def run(a: pa.Array) -> pa.Array:
-        texts = a.to_pylist()
-        got = _tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)
-        return pa.array([None if t is None else g.ids for t, g in zip(texts, got)], pa.list_(pa.int32()))
+        def make(texts: list) -> pa.Array:
+            got = _tokenizer(path).encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return pa.array([None if t is None else take(g) for t, g in zip(texts, got)], kind)
+
+        return in_parts(make, kind, a, most=most)
 
     return run(c)
 
 
+def encode(c: Column, path: str) -> Column:
+    """Ids by a tokenizer file, a small part of a batch at a time."""
+    return _encoded(path, lambda g: g.ids, pa.list_(pa.int32()), c, "array<int>")
+
+
+def token_count(c: Column, path: str) -> Column:
+    """How many ids ``encode`` gives, without them."""
+    return _encoded(path, len, pa.int32(), c, "int")
+
+
 def token_word_ratio(tokens: Column, words: Column) -> Column:
     """Null where either is 0."""
     return F.when((tokens > 0) & (words > 0), tokens / words)

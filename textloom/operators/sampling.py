@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.storage import written
 
 THRESHOLDS = (10, 20, 25, 50, 75)
 
@@ -44,10 +45,30 @@ def recommend(df: DataFrame, thresholds: tuple[int, ...] = THRESHOLDS, sample: i
     return out.withColumn("best", F.row_number().over(W.orderBy(F.desc("score"), "threshold")) == 1)  # one row a threshold
 
 
+def at_ranks(df: DataFrame, value: str, ranks: list[int]) -> list[float]:
+    """The values at the given places, from 0, of the sorted non-null ``value``.
+
+    Equal values are counted first, then dealt out by range: a place is found by the counts of the
+    ranges, and looked up in the one range that holds it. No task holds all values.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+    ranged = written(counts.repartitionByRange(value).withColumn("part", F.spark_partition_id()), "ranged-values")
+    sizes = [(r["part"], r["n"]) for r in ranged.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()]
+    out = []
+    for rank in ranks:
+        for part, n in sizes:
+            if rank < n:
+                break
+            rank -= n
+        upto = ranged.where(F.col("part") == part).select(value, F.sum("n").over(W.partitionBy("part").orderBy(value)).alias("upto"))
+        out.append(upto.where(F.col("upto") > rank).agg(F.min(value)).first()[0])
+    return out
+
+
 def ratio_summary(df: DataFrame, ratio: str) -> DataFrame:
     """n, mean, median and the 95th of the sorted ratios at place round(0.95 (n-1)), halves to even."""
     r = df.where(F.col(ratio).isNotNull()).select(ratio)
     n = r.count()
-    at = round(0.95 * (n - 1)) / (n - 1) if n > 1 else 0.0  # Python rounds halves to even
-    p95 = F.percentile(F.col(ratio), F.lit(at))  # exact: the rank is whole, so nothing is interpolated
-    return r.agg(F.count("*").alias("n"), F.round(F.avg(ratio), 6).alias("mean"), F.round(F.median(ratio), 6).alias("median"), F.round(p95, 6).alias("p95"))
+    low, high, p95 = at_ranks(r, ratio, [(n - 1) // 2, n // 2, round(0.95 * (n - 1))]) if n else (None, None, None)  # Python rounds halves to even
+    middle = F.lit(None if n == 0 else low + (high - low) / 2).cast("double")
+    return r.agg(F.count("*").alias("n"), F.round(F.avg(ratio), 6).alias("mean"), F.round(middle, 6).alias("median"), F.round(F.lit(p95).cast("double"), 6).alias("p95"))
