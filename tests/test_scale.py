@@ -1,12 +1,13 @@
 """Memory and work that must not follow the size of a batch or a bucket."""
 
 import random
+import unicodedata
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.functions import batches
+from textloom.functions import batches, udfs
 from textloom.operators import bpe_counts, sampling
 from textloom.plans import catalogue
 
@@ -61,3 +62,27 @@ def test_ratio_summary_needs_no_table_of_all_ratios(spark, n):
     assert row.n == n
     if n:
         assert row["median"] == pytest.approx((s[(n - 1) // 2] + s[n // 2]) / 2, abs=2e-6) and row.p95 == pytest.approx(s[round(0.95 * (n - 1))], abs=1e-6)
+
+
+def test_texts_without_signs_stay_out_of_python(spark):
+    assert all(unicodedata.is_normalized("NFC", chr(a) + chr(b)) for a in range(0x300) for b in (*range(0x300), 0x3FF))
+    rows = ["plain", "é ñ", "caf\u0065\u0301", "cafÃ©", "a &amp; b", "â€™", "x Å\xb8", "\u212b", "", None, "Â\xa0x", "\U0001d15e"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string")
+    fixed = lambda t: udfs.to_nfc(udfs.repair_mojibake(udfs.decode_once(t)))
+    got = df.select("t", udfs.nfc(F.col("t")).alias("n"), udfs.repair(F.col("t")).alias("r"), udfs.source_repair(F.col("t"), F.lit(None).cast("string"), ("a",), ("b",), 3).alias("s")).collect()
+    for r in got:
+        assert (r.n, r.r, r.s) == ((None,) * 3 if r.t is None else (unicodedata.normalize("NFC", r.t), fixed(r.t), fixed(r.t)))
+    sources = df.select(udfs.source_repair(F.lit("a\\nb <p>\\/p>"), F.when(F.col("i") == 0, "u").when(F.col("i") == 1, "f"), ("u",), ("f",)).alias("s")).limit(3).collect()
+    assert [r.s for r in sources] == ["a\nb <p>/p>", "a\\nb", "a\\nb <p>\\/p>"]
+
+
+def test_udfs_take_small_parts(monkeypatch):
+    """A whole batch of texts stood in Python at once, and its results beside it."""
+    most, real = [], batches.pa.Array.to_pylist
+    caught = []
+    monkeypatch.setattr(udfs.F, "arrow_udf", lambda kind: lambda f: caught.append(f) or (lambda *c: None))
+    udfs.fix_mojibake(None), udfs.unescape(None), udfs.strip_markup_fragments(None), udfs.decode_entities(None)
+    monkeypatch.setattr(udfs, "in_parts", lambda make, kind, *a: batches.in_parts(lambda ts: most.append(sum(map(len, ts))) or make(ts), kind, *a))
+    texts = ["w" * 100_000] * 40
+    assert len(caught) == 4 and all(real(f(pa.array(texts))) == texts for f in caught)
+    assert len(most) >= 16 and max(most) <= 1 << 20

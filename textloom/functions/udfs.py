@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textloom.functions.batches import in_parts
 from textloom.functions.text import SIGNS
 
 _ENTITY = re.compile(r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);")
@@ -28,7 +29,7 @@ def _mapped(f: Callable[[str], str | None], kind: str = "string"):
 
     @F.arrow_udf(kind)
     def run(a: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else f(x) for x in a.to_pylist()], types[kind])
+        return in_parts(lambda ts: pa.array([None if x is None else f(x) for x in ts], types[kind]), types[kind], a)
 
     return run
 
@@ -101,8 +102,19 @@ def clip(t: str, most: int) -> str:
     return t if len(t) * 4 <= most else t.encode("utf-8", "surrogatepass")[:most].decode("utf-8", "ignore")
 
 
+#: Texts without these are in NFC: below U+0300 nothing combines, and nothing has another form.
+_COMBINES = r"[^\x{0}-\x{2ff}]"
+#: Texts without these have no entity and no sign of mojibake either.
+_BROKEN = rf"[&ÃÂ]| Å|{_COMBINES}"
+
+
+def _where(pattern: str, f: Callable[[str], str], c: Column) -> Column:
+    """``f`` of texts that hold ``pattern``; others are left as they are, and never go to Python."""
+    return F.coalesce(_mapped(f)(F.when(c.rlike(pattern), c)), c)
+
+
 def nfc(c: Column) -> Column:
-    return _mapped(to_nfc)(c)
+    return _where(_COMBINES, to_nfc, c)
 
 
 def decode_entities(c: Column) -> Column:
@@ -123,7 +135,7 @@ def strip_markup_fragments(c: Column) -> Column:
 
 def repair(c: Column, passes: int = 3) -> Column:
     """Entities, mojibake and NFC in one pass through Python."""
-    return _mapped(lambda t: to_nfc(repair_mojibake(decode_once(t), passes)))(c)
+    return _where(_BROKEN, lambda t: to_nfc(repair_mojibake(decode_once(t), passes)), c)
 
 
 def source_repair(c: Column, source: Column, unescape_sources: tuple[str, ...], fragment_sources: tuple[str, ...], passes: int = 5) -> Column:
@@ -131,18 +143,19 @@ def source_repair(c: Column, source: Column, unescape_sources: tuple[str, ...],
 
     @F.arrow_udf("string")
     def run(a: pa.Array, s: pa.Array) -> pa.Array:
-        out = []
-        for t, src in zip(a.to_pylist(), s.to_pylist()):
-            if t is not None:
-                if src in unescape_sources:
-                    t = unescape_literals(t)
-                if src in fragment_sources:
-                    t = strip_fragments(t)
-                t = to_nfc(repair_mojibake(decode_once(t), passes))
-            out.append(t)
-        return pa.array(out, pa.string())
+        def fixed(t: str | None, src: str | None) -> str | None:
+            if t is None:
+                return None
+            if src in unescape_sources:
+                t = unescape_literals(t)
+            if src in fragment_sources:
+                t = strip_fragments(t)
+            return to_nfc(repair_mojibake(decode_once(t), passes))
 
-    return run(c, source)
+        return in_parts(lambda ts, ss: pa.array(map(fixed, ts, ss), pa.string()), pa.string(), a, s)
+
+    special = F.coalesce(source.isin(*unescape_sources, *fragment_sources), F.lit(False))
+    return F.coalesce(run(F.when(special | c.rlike(_BROKEN), c), source), c)
 
 
 class Detector:
@@ -208,9 +221,12 @@ def detect(c: Column, detector: Detector, clip_bytes: int = 2000) -> Column:
 
     @F.arrow_udf("struct<code: string, conf: double>")
     def run(a: pa.Array) -> pa.Array:
-        got = [detector.detect(clip(t, clip_bytes)) if t else None for t in a.to_pylist()]
-        code, conf = pa.array([g and g[0] for g in got], pa.string()), pa.array([g and round(g[1], 6) for g in got], pa.float64())
-        return pa.StructArray.from_arrays([code, conf], ["code", "conf"])
+        def make(texts: list) -> pa.Array:
+            got = [detector.detect(clip(t, clip_bytes)) if t else None for t in texts]
+            code, conf = pa.array([g and g[0] for g in got], pa.string()), pa.array([g and round(g[1], 6) for g in got], pa.float64())
+            return pa.StructArray.from_arrays([code, conf], ["code", "conf"])
+
+        return in_parts(make, pa.struct([("code", pa.string()), ("conf", pa.float64())]), a)
 
     return run(c)
 
@@ -220,11 +236,13 @@ def target_share(c: Column, detector: Detector, target: str, min_confidence: flo
 
     @F.arrow_udf("double")
     def run(a: pa.Array) -> pa.Array:
-        out = []
-        for t in a.to_pylist():
-            parts = [p for p in map(str.strip, (t or "").split(separator)) if p]
+        def share(t: str | None) -> float | None:
+            if t is None:
+                return None
+            parts = [p for p in map(str.strip, t.split(separator)) if p]
             ok = sum(len(p) for p in parts if (g := detector.detect(clip(p, clip_bytes))) and g[0] == target and g[1] >= min_confidence)
-            out.append(None if t is None else ok / sum(map(len, parts)) if parts else 1.0)
-        return pa.array(out, pa.float64())
+            return ok / sum(map(len, parts)) if parts else 1.0
+
+        return in_parts(lambda ts: pa.array(map(share, ts), pa.float64()), pa.float64(), a)
 
     return run(c)
