@@ -8,14 +8,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textloom import config
+from textloom import config, registry
 from textloom.functions import batches, udfs
 from textloom.functions import text as T
-from textloom.operators import bpe_counts, near_dup, sampling
+from textloom.operators import bpe_counts, deep_clean, near_dup, sampling
 from textloom.plans import catalogue
 
-SF = "/root/testdata/sf0.001"
-
 
 def test_parts_are_small_and_whole():
     texts = ["a" * n for n in (3, 0, 900, 5000, 1)] + [None] * 3 + ["b" * 300] * 40
@@ -121,3 +119,19 @@ def test_pairs_that_sizes_rule_out_are_not_compared(spark):
     assert near_dup.candidate_pairs(near_dup.distinct_sets(sets), tau=0.8).where("a = 298 or b = 298").isEmpty()
     assert sorted((r.src, r.dst) for r in near_dup.verified_pairs(near_dup.distinct_sets(sets)).collect()) == [(0, 2), (0, 4), (2, 4)]
     assert sorted((r.node, r.component) for r in near_dup.clusters(sets).collect()) == [(0, 0), (2, 0), (3, 0), (4, 0)]
+
+
+def test_deep_clean_takes_each_step_once(spark):
+    """A filter on the finished text was pushed below all steps, and ran them again in two branches."""
+    d = spark.createDataFrame([("a", registry.DOCUMENT, "gate", "x y", "h", [], "kept")], "source string, kind string, lid_policy string, text string, content_hash string, flags array<string>, disposition string")
+    en = udfs.from_samples("ngram_bayes", {"en": ["the dog"], "so": ["waa dal"]})
+    plan = deep_clean.deep_clean(d, detector=en)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("ArrowEvalPython" in line for line in plan.splitlines()) == 2  # repair, then the share of the language
+    assert not any("Filter" in line and "regexp_replace" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("line", ["", " ", "a", "a b c", " a b c ", "a b c d", "a\u2003b\xa0c  d", "x" * 3000, "a b c\t"])
+def test_fewer_than_four_words(spark, line):
+    t = T.trim_white(F.lit(line))
+    row = spark.range(1).select((T.word_count(t) < 4).alias("a"), (~t.rlike(r"(?U)\A(?:\S++\s++){3}\S")).alias("b")).first()
+    assert row.a == row.b
